@@ -106,3 +106,30 @@ def time_bucket(c, unit: str) -> Column:
 
 def number_format(c, decimals: int) -> Column:
     return F.format_number(_c(c), decimals)
+
+
+# -- fixed-precision rounding ---------------------------------------------------
+
+ROUND_LIMIT = 1e12  # beyond this a double has no 6th decimal left to round
+
+
+def round_to(c, digits: int) -> Column:
+    """Round half away from zero with plain IEEE steps (two-stage).
+
+    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: multiplication, addition,
+    floor and division are exactly specified in IEEE-754, so any engine that
+    evaluates the same formula returns the same double (``round`` differs
+    between engines: some round the shortest decimal text, some the binary
+    value).  Values at or above ``ROUND_LIMIT`` pass through.
+    """
+    x = _c(c).cast("double")
+
+    def step(v, d):
+        scale = F.lit(float(10 ** d))
+        return F.signum(v) * F.floor(F.abs(v) * scale + F.lit(0.5)).cast("double") / scale
+
+    # A first step at three more digits absorbs last-bit noise from
+    # summation order, so a true decimal tie (x.xxxxxx5) rounds the same
+    # way however the sum was ordered.
+    r = step(step(x, digits + 3), digits)
+    return F.when(F.abs(x) < F.lit(ROUND_LIMIT), r).otherwise(x)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import time_bucket
+from feeflow.functions.expressions import round_to, time_bucket
 from feeflow.operators.quantiles import _ns_join, exact_quantiles
 
 DEFAULT_PRECISION = 6
@@ -114,12 +114,12 @@ def agg_expr(kind: str, col: str, precision: int | None, distinct: str = "exact"
         return F.sum(c).cast("bigint")
     if kind == "avg":
         a = F.avg(c)
-        return F.round(a, precision) if precision is not None else a
+        return round_to(a, precision) if precision is not None else a
     if kind in ("max", "min"):
         return F.max(c) if kind == "max" else F.min(c)
     if kind == "median":
         a = F.median(c) if median == "builtin" else F.percentile_approx(c, 0.5, 100_000).cast("double")
-        return F.round(a, precision) if precision is not None else a
+        return round_to(a, precision) if precision is not None else a
     if kind == "count_status":
         return _count_status(col)
     raise ValueError(kind)
@@ -191,7 +191,7 @@ def _mart(
         for name, col in medians:
             q = exact_quantiles(keyed, key_names, col, [0.5], [name])
             if precision is not None:
-                q = q.withColumn(name, F.round(name, precision))
+                q = q.withColumn(name, round_to(name, precision))
             out = _ns_join(out, q, key_names, "left")
         order = key_names + [n for n, _, _ in spec] + [a for a in out.columns if a not in key_names and a not in {n for n, _, _ in spec}]
         out = out.select(*order)
@@ -233,7 +233,7 @@ def fee_percentiles(tx: DataFrame, by: str = "ts", grain: str = "day", value: st
     n = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_tx"))
     out = _ns_join(n, q, ["bucket"], "left")
     if precision is not None:
-        out = out.select("bucket", "n_tx", *[F.round(c, precision).alias(c) for c in names])
+        out = out.select("bucket", "n_tx", *[round_to(c, precision).alias(c) for c in names])
     return out
 
 
@@ -243,13 +243,13 @@ def congestion_share(int_df: DataFrame, precision: int | None = DEFAULT_PRECISIO
     counts = int_df.groupBy("network_congestion_status").agg(F.count(F.lit(1)).alias("n_rows"))
     share = F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy())
     return counts.select("network_congestion_status", "n_rows",
-                         (F.round(share, precision) if precision is not None else share).alias("share"))
+                         (round_to(share, precision) if precision is not None else share).alias("share"))
 
 
 def exec_kpis(daily: DataFrame, dates: list | None = None, precision: int | None = DEFAULT_PRECISION) -> DataFrame:
     """Whole-period totals over (optionally selected) days of the daily mart."""
     d = daily_slice(daily, dates) if dates else daily
-    r = (lambda c: F.round(c, precision)) if precision is not None else (lambda c: c)
+    r = (lambda c: round_to(c, precision)) if precision is not None else (lambda c: c)
     return d.agg(
         F.count(F.lit(1)).alias("n_days"),
         F.sum("total_daily_transactions").cast("bigint").alias("total_transactions"),
@@ -292,7 +292,7 @@ def tx_velocity(int_df: DataFrame, grain: str = "hour", precision: int | None =
         F.col("transactions").alias("_prev"),
     )
     rate = F.col("transactions") / F.lit(float(GRAIN_SECONDS[grain]))
-    r = (lambda c: F.round(c, precision)) if precision is not None else (lambda c: c)
+    r = (lambda c: round_to(c, precision)) if precision is not None else (lambda c: c)
     return b.join(prev, "bucket", "left").select(
         "bucket", "transactions", r(rate).alias("tx_per_second"),
         (F.col("transactions") - F.col("_prev")).alias("change_vs_previous"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import first_nonzero, lower_columns, status_class
+from feeflow.functions.expressions import first_nonzero, lower_columns, round_to, status_class
 
 HOUR_TIME = "time_hour"
 MINUTE_TIME = "time_minute"
@@ -50,7 +50,7 @@ def kpi_hourly(hourly: DataFrame) -> DataFrame:
     tot_tx = first_nonzero("total_transactions", default=0)
     blocks = first_nonzero("total_blocks", default=1)
     avg_tx = first_nonzero("avg_transactions_per_block", default=0)
-    avg_tx = F.when((avg_tx == 0) & (blocks > 0), F.round(tot_tx / blocks, 6)).otherwise(avg_tx)
+    avg_tx = F.when((avg_tx == 0) & (blocks > 0), round_to(tot_tx / blocks, 6)).otherwise(avg_tx)
     max_tx = first_nonzero("max_transactions_in_block", default=0)
     max_tx = F.when(max_tx == 0, tot_tx).otherwise(max_tx)
     return r.select(

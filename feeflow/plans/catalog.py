@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import status_class, time_bucket
+from feeflow.functions.expressions import round_to, status_class, time_bucket
 from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
@@ -225,7 +225,7 @@ def q_count_distinct_by_hour(spark, sf):
 def q_median_by_day(spark, sf):
     keyed = _inter(spark, sf).select(time_bucket("enqueued_time", "day").alias("mempool_date"), "median_fee")
     m = exact_quantiles(keyed, ["mempool_date"], "median_fee", [0.5], ["median_fee"])
-    return m.select("mempool_date", F.round("median_fee", 6).alias("median_fee"))
+    return m.select("mempool_date", round_to("median_fee", 6).alias("median_fee"))
 
 
 @query

@@ -187,6 +187,11 @@ exploded AS (
          {", ".join("CAST(NULL AS DOUBLE)" for _ in P)}
   FROM messages WHERE n_ok = 0
 ),
+hour_tx AS (
+  SELECT CAST(date_trunc('hour', enqueued_time) AS TIMESTAMP) AS bucket,
+         CAST(sum(number_of_transactions) AS BIGINT) AS transactions
+  FROM inter GROUP BY 1
+),
 tx AS (
   SELECT event_id, ts, md5(CAST(event_id AS VARCHAR)) AS txid,
          CAST(round(value * 100) AS BIGINT) AS fee,
@@ -198,8 +203,45 @@ tx AS (
 """
 
 
+def round6(expr: str, digits: int = 6) -> str:
+    """Half-away-from-zero rounding with plain IEEE steps (same formula as
+    the Spark side), so equal inputs round to equal doubles in both engines."""
+    x = f"CAST({expr} AS DOUBLE)"
+
+    def step(v, d):
+        scale = f"CAST({10 ** d} AS DOUBLE)"
+        return f"(sign({v}) * floor(abs({v}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale})"
+
+    return f"(CASE WHEN abs({x}) < CAST(1e12 AS DOUBLE) THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
+
+
+def _expand_round(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` into :func:`round6`."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        arg, _, digits = inner.rpartition(",")
+        if digits.strip() != "6":
+            out.append(sql[i:k])
+        else:
+            out.append(sql[i:j] + round6(_expand_round(arg.strip())))
+        i = k
+
+
 def q(body: str) -> str:
-    return "WITH " + BASE.strip() + "\n" + body
+    return "WITH " + _expand_round(BASE.strip()) + "\n" + _expand_round(body)
 
 
 def _status_class(col: str) -> str:
@@ -355,11 +397,9 @@ ORACLE = {
         "(TIMESTAMP '2026-09-18 00:00:00', TIMESTAMP '2026-09-20 00:00:00', TIMESTAMP '2026-09-24 00:00:00')"
     ),
     "q_tx_velocity": q(
-        "WITH b AS (SELECT CAST(date_trunc('hour', enqueued_time) AS TIMESTAMP) AS bucket, "
-        "CAST(sum(number_of_transactions) AS BIGINT) AS transactions FROM inter GROUP BY 1) "
         "SELECT b.bucket, b.transactions, round(b.transactions / 3600.0, 6) AS tx_per_second, "
         "b.transactions - p.transactions AS change_vs_previous "
-        "FROM b LEFT JOIN b p ON p.bucket + INTERVAL 1 HOUR = b.bucket"
+        "FROM hour_tx b LEFT JOIN hour_tx p ON p.bucket + INTERVAL 1 HOUR = b.bucket"
     ),
     "q_top500_hours": q(
         "SELECT * FROM hourly ORDER BY time_hour DESC NULLS LAST, network_congestion_status ASC NULLS LAST LIMIT 500"
