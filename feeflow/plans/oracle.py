@@ -433,9 +433,9 @@ ORACLE = {
     "q_kpi_hourly": q(_KPI_H),
     "q_kpi_minute": q(_KPI_M),
     "q_fee_series_long": q(
-        "SELECT time_hour, network_congestion_status, percentile, fee FROM "
-        "(UNPIVOT (SELECT time_hour, network_congestion_status, avg_fee_p10, avg_fee_p50, avg_fee_p90, avg_fee_p99 "
-        "FROM hourly) ON avg_fee_p10, avg_fee_p50, avg_fee_p90, avg_fee_p99 INTO NAME percentile VALUE fee)"
+        " UNION ALL ".join(
+            f"SELECT time_hour, network_congestion_status, '{c}' AS percentile, {c} AS fee FROM hourly"
+            for c in ("avg_fee_p10", "avg_fee_p50", "avg_fee_p90", "avg_fee_p99"))
     ),
     "q_throughput_pivot": q(
         "SELECT time_hour, "

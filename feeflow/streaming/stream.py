@@ -74,15 +74,21 @@ def stream_intermediate(capture: DataFrame, delay: str = "1 hour") -> DataFrame:
     return inter.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["mempool_id"])
 
 
-def stream_mart(inter: DataFrame, grain: str = "minute", delay: str = "1 hour", precision: int | None = 6) -> DataFrame:
-    """Tumbling-window mart over a stream of intermediate rows."""
+def stream_mart(inter: DataFrame, grain: str = "minute", delay: str | None = None,
+                precision: int | None = 6) -> DataFrame:
+    """Tumbling-window mart over a stream of intermediate rows.
+
+    ``delay`` sets the watermark when the input has none yet (the output of
+    :func:`stream_intermediate` already carries one; a stream may define it
+    once)."""
     width, time_name, spec, alerts = GRAINS[grain]
     keys = [F.window("event_ts", width).alias("w")]
     if grain != "day":
         keys.append(F.col("network_congestion_status"))
     aggs = [agg_expr(kind, col, precision, distinct="approx", median="approx").alias(name)
             for name, kind, col in spec]
-    out = inter.withWatermark("event_ts", delay).groupBy(*keys).agg(*aggs, *alerts())
+    src = inter.withWatermark("event_ts", delay) if delay else inter
+    out = src.groupBy(*keys).agg(*aggs, *alerts())
     return out.select(F.col("w.start").cast("timestamp_ntz").alias(time_name),
                       *[c for c in out.columns if c != "w"])
 
@@ -101,7 +107,7 @@ def alert_filter(minute: DataFrame) -> DataFrame:
 def alert_feed(capture: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Streaming alert feed: capture -> minute mart -> non-NORMAL rows
     (run with output mode ``update`` to see rows before the mark passes)."""
-    return alert_filter(stream_mart(stream_intermediate(capture, delay), "minute", delay))
+    return alert_filter(stream_mart(stream_intermediate(capture, delay), "minute"))
 
 
 def run_available(df: DataFrame, name: str, checkpoint: str, mode: str = "append"):
