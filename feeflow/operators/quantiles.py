@@ -64,33 +64,40 @@ def exact_quantiles(
     )
     joined = _ns_join(base, stats, keys, "inner")
 
-    # rows strictly below each bracket: counted only
-    below = joined.groupBy(*keys).agg(
-        F.array(*[F.count_if(F.col("_v") < F.get("_b", i)) for i in range(m)]).alias("_below")
-    )
-    # rows inside a bracket: (q index, value) -> count
+    # One pass tags each row per quantile: below the bracket -> (i, NULL),
+    # inside it -> (i, value), above -> nothing.  A single aggregate then
+    # yields the below-count (the NULL row) and the candidate value counts.
     idx = F.sequence(F.lit(0), F.lit(m - 1))
-    inside = F.filter(idx, lambda i: (F.col("_v") >= F.get(F.col("_b"), i)) & (F.col("_v") <= F.get(F.col("_b"), i + m)))
+    v = F.col("_v")
+
+    def tag(i):
+        lo, hi = F.get(F.col("_b"), i), F.get(F.col("_b"), i + m)
+        return F.when(v < lo, F.struct(i.alias("qi"), F.lit(None).cast("double").alias("cv"))).when(
+            v <= hi, F.struct(i.alias("qi"), v.alias("cv")))
+
+    tags = F.filter(F.transform(idx, tag), lambda t: t.isNotNull())
     cand = (
-        joined.select(*keys, "_v", F.explode(inside).alias("_qi"))
-        .groupBy(*keys, "_qi", "_v")
+        joined.select(*keys, "_n", F.explode(tags).alias("t"))
+        .groupBy(*keys, "_n", F.col("t.qi").alias("_qi"), F.col("t.cv").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     qarr = F.array(*[F.lit(float(q)) for q in qs])
-    cand = _ns_join(cand, _ns_join(stats.select(*keys, "_n"), below, keys, "inner"), keys, "inner")
-    w = Window.partitionBy(*keys, "_qi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # NULL (the below-count row) sorts first, so the running sum starts from it
+    w = (Window.partitionBy(*keys, "_qi").orderBy(F.col("_v").asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pos = (F.col("_n") - 1).cast("double") * F.get(qarr, F.col("_qi"))
     ranked = cand.select(
         *keys,
         "_qi",
         "_v",
         pos.alias("_pos"),
-        (F.get("_below", F.col("_qi")) + F.sum("_c").over(w)).alias("_hi_rank"),  # exclusive
+        F.sum("_c").over(w).alias("_hi_rank"),  # exclusive
         F.col("_c"),
     ).withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c"))  # inclusive
 
     def at_rank(r):
-        return F.max(F.when((F.col("_lo_rank") <= r) & (r < F.col("_hi_rank")), F.col("_v")))
+        hit = F.col("_v").isNotNull() & (F.col("_lo_rank") <= r) & (r < F.col("_hi_rank"))
+        return F.max(F.when(hit, F.col("_v")))
 
     lower_i, higher_i = F.floor("_pos"), F.ceil("_pos")
     picked = ranked.groupBy(*keys, "_qi").agg(

@@ -10,11 +10,18 @@ from pyspark.sql import SparkSession
 # Settings every job relies on: UTC wall clock for the zone-less capture
 # times, AQE for runtime coalescing / skew splitting / join demotion, and
 # dynamic partition overwrite so an upsert rewrites only touched days.
+#
+# Broadcast policy: no broadcast from planner *estimates* (static threshold
+# off); AQE may still turn a join into a broadcast once the shuffle has
+# *measured* a side below 32 MB - a checked bound, with the sort-merge join
+# as the path beyond it.  Data-derived sides never ride a guess.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
