@@ -110,7 +110,22 @@ def number_format(c, decimals: int) -> Column:
 
 # -- fixed-precision rounding ---------------------------------------------------
 
-ROUND_LIMIT = 1e12  # beyond this a double has no 6th decimal left to round
+# Values at or above this pass through unrounded: the first step scales by
+# 10^(d+3) and Spark's floor(double) returns a 64-bit integer; a double this
+# large has no 6th decimal left to round anyway.
+ROUND_LIMIT = 1e9
+
+
+def round_sql(expr: str, digits: int) -> str:
+    """SQL text of :func:`round_to` over a SQL expression (one parse, one
+    JVM call; the same text runs in DuckDB apart from the literal suffixes)."""
+    x = f"CAST(({expr}) AS DOUBLE)"
+
+    def step(v: str, d: int) -> str:
+        sc = f"{float(10 ** d)!r}D"
+        return f"(signum({v}) * CAST(floor(abs({v}) * {sc} + 0.5D) AS DOUBLE) / {sc})"
+
+    return f"(CASE WHEN abs({x}) < {ROUND_LIMIT!r}D THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
 
 
 def round_to(c, digits: int) -> Column:
@@ -120,16 +135,18 @@ def round_to(c, digits: int) -> Column:
     floor and division are exactly specified in IEEE-754, so any engine that
     evaluates the same formula returns the same double (``round`` differs
     between engines: some round the shortest decimal text, some the binary
-    value).  Values at or above ``ROUND_LIMIT`` pass through.
+    value).  A first step at three more digits absorbs last-bit noise from
+    summation order, so a true decimal tie (x.xxxxxx5) rounds the same way
+    however the sum was ordered.  ``c`` may be a column name (fast path: one
+    SQL expression) or a Column.
     """
-    x = _c(c).cast("double")
+    if isinstance(c, str):
+        return F.expr(round_sql(f"`{c}`", digits))
+    x = c.cast("double")
 
     def step(v, d):
         scale = F.lit(float(10 ** d))
         return F.signum(v) * F.floor(F.abs(v) * scale + F.lit(0.5)).cast("double") / scale
 
-    # A first step at three more digits absorbs last-bit noise from
-    # summation order, so a true decimal tie (x.xxxxxx5) rounds the same
-    # way however the sum was ordered.
     r = step(step(x, digits + 3), digits)
     return F.when(F.abs(x) < F.lit(ROUND_LIMIT), r).otherwise(x)

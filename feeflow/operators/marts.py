@@ -106,25 +106,33 @@ def _count_status(label: str) -> Column:
     return F.count(F.when(F.col("network_congestion_status") == F.lit(label), F.lit(1)))
 
 
-def agg_expr(kind: str, col: str, precision: int | None, distinct: str = "exact", median: str = "builtin") -> Column:
-    c = F.col(col)
+_AGG_SQL = {"sum": "CAST(sum(`{c}`) AS BIGINT)", "avg": "avg(`{c}`)", "max": "max(`{c}`)", "min": "min(`{c}`)"}
+ROUNDED_KINDS = ("avg", "median")
+
+
+def agg_expr(kind: str, col: str, distinct: str = "exact", median: str = "builtin") -> Column:
+    """One unrounded aggregate (built as SQL text: one JVM call per column)."""
+    if kind in _AGG_SQL:
+        return F.expr(_AGG_SQL[kind].format(c=col))
     if kind == "count_distinct":
-        return F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c)
-    if kind == "sum":
-        return F.sum(c).cast("bigint")
-    if kind == "avg":
-        a = F.avg(c)
-        return round_to(a, precision) if precision is not None else a
-    if kind in ("max", "min"):
-        return F.max(c) if kind == "max" else F.min(c)
+        return F.expr(f"count(DISTINCT `{col}`)" if distinct == "exact" else f"approx_count_distinct(`{col}`)")
     if kind == "median":
-        a = F.median(c) if median == "builtin" else F.percentile_approx(c, 0.5, 100_000).cast("double")
-        return round_to(a, precision) if precision is not None else a
+        return F.expr(f"median(`{col}`)" if median == "builtin"
+                      else f"CAST(percentile_approx(`{col}`, 0.5, 100000) AS DOUBLE)")
     if kind == "count_status":
         return _count_status(col)
     raise ValueError(kind)
 
 
+def round_outputs(df: DataFrame, spec: list, precision: int | None) -> DataFrame:
+    """Round the average/median outputs of ``spec`` in one projection
+    (Catalyst folds it into the aggregate's result expressions)."""
+    if precision is None:
+        return df
+    names = {n for n, k, _ in spec if k in ROUNDED_KINDS}
+    return df.select(*[round_to(c, precision).alias(c) if c in names else F.col(f"`{c}`") for c in df.columns])
+
+
 # -- alert classes (over the unrounded aggregates) ------------------------------
 
 def daily_alerts() -> list[Column]:
@@ -181,7 +189,7 @@ def _mart(
     computed by :func:`exact_quantiles` and joined back on the keys."""
     medians = [(n, c) for n, k, c in spec if k == "median"] if median == "distributed" else []
     aggs = [
-        agg_expr(kind, col, precision, distinct, median).alias(name)
+        agg_expr(kind, col, distinct, median).alias(name)
         for name, kind, col in spec
         if not (kind == "median" and medians)
     ]
@@ -189,13 +197,11 @@ def _mart(
     if medians:
         keyed = df.select(*group_cols, *{c for _, c in medians})
         for name, col in medians:
-            q = exact_quantiles(keyed, key_names, col, [0.5], [name])
-            if precision is not None:
-                q = q.withColumn(name, round_to(name, precision))
-            out = _ns_join(out, q, key_names, "left")
-        order = key_names + [n for n, _, _ in spec] + [a for a in out.columns if a not in key_names and a not in {n for n, _, _ in spec}]
-        out = out.select(*order)
-    return out
+            out = _ns_join(out, exact_quantiles(keyed, key_names, col, [0.5], [name]), key_names, "left")
+        names = {n for n, _, _ in spec}
+        out = out.select(*key_names, *[n for n, _, _ in spec],
+                         *[a for a in out.columns if a not in key_names and a not in names])
+    return round_outputs(out, spec, precision)
 
 
 def mart_daily(int_df: DataFrame, precision: int | None = DEFAULT_PRECISION, distinct: str = "exact",
@@ -233,7 +239,7 @@ def fee_percentiles(tx: DataFrame, by: str = "ts", grain: str = "day", value: st
     n = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_tx"))
     out = _ns_join(n, q, ["bucket"], "left")
     if precision is not None:
-        out = out.select("bucket", "n_tx", *[round_to(c, precision).alias(c) for c in names])
+        out = out.select("bucket", "n_tx", *[round_to(c, precision).alias(c) for c in names])  # by name: SQL path
     return out
 
 

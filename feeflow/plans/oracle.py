@@ -212,7 +212,7 @@ def round6(expr: str, digits: int = 6) -> str:
         scale = f"CAST({10 ** d} AS DOUBLE)"
         return f"(sign({v}) * floor(abs({v}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale})"
 
-    return f"(CASE WHEN abs({x}) < CAST(1e12 AS DOUBLE) THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
+    return f"(CASE WHEN abs({x}) < CAST(1e9 AS DOUBLE) THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
 
 
 def _expand_round(sql: str) -> str:

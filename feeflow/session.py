@@ -89,3 +89,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique folder below the shared checkpoint root for staged writes."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/feeflow-{name}-{uuid.uuid4().hex}"
+
+
+def materialize_shared(df, name: str):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and return a scan of it.
+
+    Cuts lineage like ``checkpoint()`` (a lost executor re-reads the table,
+    never the raw input) but computes ``df`` only once and lets every later
+    pass prune columns and push filters into the scan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

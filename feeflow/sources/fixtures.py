@@ -31,8 +31,18 @@ FIXTURE_MEDIAN_DIVISOR = 7000
 FIXTURE_TX_FRAME_SIZE = 64
 
 
+_READ_CACHE: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table.  The (lazy) DataFrame is memoized per
+    application and path: the tables are read-only, and a fresh
+    ``spark.read`` would list the folder and read the footer again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READ_CACHE:
+        _READ_CACHE[key] = spark.read.parquet(path)
+    return _READ_CACHE[key]
 
 
 def _fee_expr() -> F.Column:

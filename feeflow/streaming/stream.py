@@ -22,7 +22,16 @@ from pyspark.sql import functions as F
 from feeflow import schemas as S
 from feeflow.functions.expressions import fee_percentile_columns, parse_event_time, surrogate_key
 from feeflow.operators.features import features
-from feeflow.operators.marts import DAILY_AGGS, HOURLY_AGGS, MINUTE_AGGS, agg_expr, daily_alerts, hourly_alerts, minute_alerts
+from feeflow.operators.marts import (
+    DAILY_AGGS,
+    HOURLY_AGGS,
+    MINUTE_AGGS,
+    agg_expr,
+    daily_alerts,
+    hourly_alerts,
+    minute_alerts,
+    round_outputs,
+)
 from feeflow.operators.parse import decode_body
 
 GRAINS = {
@@ -85,12 +94,11 @@ def stream_mart(inter: DataFrame, grain: str = "minute", delay: str | None = Non
     keys = [F.window("event_ts", width).alias("w")]
     if grain != "day":
         keys.append(F.col("network_congestion_status"))
-    aggs = [agg_expr(kind, col, precision, distinct="approx", median="approx").alias(name)
-            for name, kind, col in spec]
+    aggs = [agg_expr(kind, col, distinct="approx", median="approx").alias(name) for name, kind, col in spec]
     src = inter.withWatermark("event_ts", delay) if delay else inter
     out = src.groupBy(*keys).agg(*aggs, *alerts())
-    return out.select(F.col("w.start").cast("timestamp_ntz").alias(time_name),
-                      *[c for c in out.columns if c != "w"])
+    out = out.select(F.col("w.start").cast("timestamp_ntz").alias(time_name), *[c for c in out.columns if c != "w"])
+    return round_outputs(out, spec, precision)
 
 
 def alert_filter(minute: DataFrame) -> DataFrame:
