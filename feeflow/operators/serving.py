@@ -35,6 +35,15 @@ def latest_row(df: DataFrame, time_col: str) -> DataFrame:
     return df.orderBy(*newest_first(df, time_col)).limit(1)
 
 
+def ascending(df: DataFrame, time_col: str) -> DataFrame:
+    """Series in time order for charts (a range-partitioned global sort;
+    series are one row per bucket, so this sorts mart-sized data)."""
+    order = [F.col(time_col).asc_nulls_last()]
+    if STATUS in df.columns:
+        order.append(F.col(STATUS).asc_nulls_last())
+    return df.orderBy(*order)
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Any ``n`` rows (no order); for eyeballing only."""
     return df.limit(n)
