@@ -46,3 +46,27 @@ def test_exact_quantiles_plan_has_no_single_group_collect(spark):
     # the exact Percentile aggregate appears only on the fallback branch, which
     # is filtered to groups whose bracket missed
     assert "percentile_approx" in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_values = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]),
+              st.one_of(st.none(), st.integers(-50, 50).map(float), st.floats(-1e6, 1e6, allow_nan=False))),
+    min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_values, q=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]))
+def test_exact_quantiles_property(spark, rows, q):
+    import numpy as np
+
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["x"] for r in exact_quantiles(df, ["g"], "v", [q], ["x"]).collect()}
+    for g in {g for g, _ in rows}:
+        vals = sorted(v for gg, v in rows if gg == g and v is not None)
+        if not vals:
+            assert g not in got
+            continue
+        assert got[g] == pytest.approx(float(np.percentile(vals, q * 100)), rel=1e-9, abs=1e-9)
