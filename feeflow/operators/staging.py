@@ -37,6 +37,30 @@ def high_water_mark(spark: SparkSession, target: DataFrame | None, col: str = "e
     return row["m"] if row else None
 
 
+def table_high_water_mark(spark: SparkSession, path: str, col: str = "enqueued_time",
+                          partition_col: str = "event_date"):
+    """High-water mark of a day-partitioned table, reading one partition.
+
+    The newest day comes from the file listing (no data read); only that
+    partition's ``col`` is scanned for the maximum.  None for a missing or
+    empty table (full load).
+    """
+    import re
+
+    from feeflow.sources.sinks import table_exists
+
+    if not table_exists(spark, path):
+        return None
+    df = spark.read.parquet(path)
+    pat = re.compile(rf"/{re.escape(partition_col)}=([^/]+)/")
+    null_dir = "__HIVE_DEFAULT_PARTITION__"  # rows without a time: never the newest day
+    days = sorted({m.group(1) for f in df.inputFiles() for m in [pat.search(f)] if m and m.group(1) != null_dir})
+    if not days:
+        return high_water_mark(spark, df, col)
+    newest = df.where(F.col(partition_col) == F.lit(days[-1]).cast(df.schema[partition_col].dataType))
+    return high_water_mark(spark, newest, col)
+
+
 def incremental_slice(
     src: DataFrame,
     target: DataFrame | None,
@@ -102,11 +126,12 @@ def upsert(
 
     Only the day partitions the batch touches are read and rewritten
     (dynamic partition overwrite).  A key never changes day, because the
-    key contains the time.  The merged rows are checkpointed to the shared
-    ``spark.checkpoint.dir`` before the overwrite, so the write never reads
-    the files it replaces and a lost executor recomputes from the
-    checkpoint, not from the half-written table.  Returns touched days.
+    key contains the time.  The merged rows are first written to the shared
+    ``spark.checkpoint.dir`` (computed once), so the overwrite never reads
+    the files it replaces and a lost executor re-reads that copy, not the
+    half-written table.  Returns the number of touched days.
     """
+    from feeflow.session import materialize_shared
     from feeflow.sources.sinks import table_exists
 
     batch = batch.withColumn(partition_col, F.to_date(F.col(time_col)))
@@ -114,16 +139,21 @@ def upsert(
         latest_per_key(batch, key).write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
         return batch.select(partition_col).distinct().count()
     target = spark.read.parquet(target_path)
-    days = batch.select(partition_col).distinct()
-    touched = target.join(days, partition_col, "left_semi")
-    merged = merge_rows(touched, batch.select(*target.columns), key).checkpoint(eager=True)
+    # The batch's days (a short list: one value per day the batch spans) go
+    # back as literals, so the target scan prunes to those partitions at
+    # plan time instead of reading the whole table for a semi-join.
+    days = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    part = F.col(partition_col)
+    in_days = part.isin([d for d in days if d is not None])
+    touched = target.where(in_days | part.isNull() if None in days else in_days)
+    merged = materialize_shared(merge_rows(touched, batch.select(*target.columns), key), "upsert")
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(target_path)
     )
-    return days.count()
+    return len(days)
 
 
 def drop_exact_duplicates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -190,11 +190,13 @@ def transactions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tx_frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames carrying a ``transactions`` array: events grouped per hour and
-    per block of 64 consecutive ids, so no frame grows with the data."""
-    tx = transactions_from_events(spark, sf_dir)
+    per run of 64 row ids.  ``monotonically_increasing_id`` is unique per row
+    and never spans input partitions, so no frame exceeds 64 transactions
+    whatever the ids in the data (a repeated ``event_id`` cannot grow one)."""
+    tx = transactions_from_events(spark, sf_dir).withColumn("_row", F.monotonically_increasing_id())
     grouped = tx.groupBy(
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("frame_hour"),
-        F.expr(f"event_id div {FIXTURE_TX_FRAME_SIZE}").alias("frame_block"),
+        F.expr(f"_row div {FIXTURE_TX_FRAME_SIZE}").alias("frame_block"),
     ).agg(
         F.sort_array(F.collect_list(F.struct("event_id", "txid", "fee", "vsize", "value", "rate"))).alias("txs")
     )

@@ -87,3 +87,23 @@ def test_model_run_checks_pass(spark):
     h = m.hourly.groupBy(F.to_date("time_hour").alias("d")).agg(F.sum("total_transactions").alias("t"))
     d = m.daily.select(F.to_date("mempool_date").alias("d"), F.col("total_daily_transactions").alias("t"))
     assert sorted(map(tuple, h.collect())) == sorted(map(tuple, d.collect()))
+
+
+def test_upsert_and_table_high_water_mark(spark, scratch):
+    from feeflow.operators.staging import stage, table_high_water_mark, upsert
+
+    target = os.path.join(scratch, "staging")
+    assert table_high_water_mark(spark, target) is None  # empty target -> full load
+    st = stage(X.parsed_from_orders(spark, SF001))
+    first = st.where(F.col("enqueued_time") < F.lit(dt.datetime(2026, 9, 20)))
+    upsert(spark, target, first)
+    assert table_high_water_mark(spark, target) == first.agg(F.max("enqueued_time")).first()[0]
+    null_row = st.limit(1).withColumn("enqueued_time", F.lit(None).cast("timestamp_ntz")) \
+        .withColumn("mempool_id", F.lit("null-time-key"))
+    upsert(spark, target, null_row)
+    touched = upsert(spark, target, st.where(F.col("enqueued_time") >= F.lit(dt.datetime(2026, 9, 19))))
+    assert touched == 7
+    got = spark.read.parquet(target)
+    assert got.where(F.col("mempool_id") == "null-time-key").count() == 1  # untouched NULL-day row survives
+    assert got.count() == st.select("mempool_id").distinct().count() + 1
+    assert table_high_water_mark(spark, target) == st.agg(F.max("enqueued_time")).first()[0]
