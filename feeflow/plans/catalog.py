@@ -16,7 +16,7 @@ from feeflow.functions.expressions import round_to, status_class, time_bucket
 from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
-from feeflow.operators.features import features, intermediate
+from feeflow.operators.features import intermediate
 from feeflow.operators.marts import (
     congestion_share,
     daily_slice,
@@ -409,4 +409,4 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-__all__ = ["QUERIES", "queries", "features"]
+__all__ = ["QUERIES", "queries"]
