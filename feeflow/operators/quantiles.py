@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 
 def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on ``keys`` treating NULL keys as equal; keeps one copy of each key."""
+    """Equi-join on ``keys`` treating NULL keys as equal; keeps one copy of each key."""
     if not keys:
-        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+        raise ValueError("an equi-join needs keys")
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
     out = left.join(r, cond, how)
@@ -40,19 +40,14 @@ def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Da
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    qs: list[float],
-    names: list[str],
-    accuracy: int = 100_000,
-    slack: float = 4.0,
-) -> DataFrame:
-    """``keys + names``: exact interpolated quantiles of ``value`` per group.
+def quantile_candidates(df: DataFrame, keys: list[str], value: str, qs: list[float],
+                        accuracy: int = 100_000, slack: float = 4.0):
+    """Steps 1-2: ``(base, stats, candidates)``.
 
-    Equal to ``percentile(value, q)`` (NULLs skipped).  Groups with no
-    non-NULL value are absent; join with ``how='left'`` to keep them.
+    ``candidates`` has, per group and quantile index ``_qi``, one row with
+    ``_v = NULL`` counting the rows below the bracket and one row per
+    distinct value inside it (``_c`` = its count).  Its size per group is
+    bounded by the bracket: about ``2 * slack * n / accuracy`` values, not n.
     """
     m = len(qs)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -62,7 +57,16 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(p) for p in probes]), accuracy).alias("_b"),
     )
-    joined = _ns_join(base, stats, keys, "inner")
+    if keys:
+        joined = _ns_join(base, stats, keys, "inner")
+    else:
+        # global quantiles: the single stats row (a count and 2m bracket
+        # values) comes back as literals - no join at all
+        row = stats.first()
+        if row is None:
+            return base, stats, base.select(F.lit(None).cast("bigint").alias("_n"), F.lit(0).alias("_qi"),
+                                            F.col("_v"), F.lit(0).cast("bigint").alias("_c")).limit(0)
+        joined = base.select(F.lit(row["_n"]).alias("_n"), F.lit(row["_b"]).alias("_b"), "_v")
 
     # One pass tags each row per quantile: below the bracket -> (i, NULL),
     # inside it -> (i, value), above -> nothing.  A single aggregate then
@@ -81,6 +85,26 @@ def exact_quantiles(
         .groupBy(*keys, "_n", F.col("t.qi").alias("_qi"), F.col("t.cv").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    return base, stats, cand
+
+
+def exact_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    qs: list[float],
+    names: list[str],
+    accuracy: int = 100_000,
+    slack: float = 4.0,
+) -> DataFrame:
+    """``keys + names``: exact interpolated quantiles of ``value`` per group.
+
+    Equal to ``percentile(value, q)`` (NULLs skipped).  Groups with no
+    non-NULL value are absent; join with ``how='left'`` to keep them.
+    With no keys the quantiles are global (one row).
+    """
+    m = len(qs)
+    base, stats, cand = quantile_candidates(df, keys, value, qs, accuracy, slack)
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     # NULL (the below-count row) sorts first, so the running sum starts from it
     w = (Window.partitionBy(*keys, "_qi").orderBy(F.col("_v").asc_nulls_first())
@@ -118,8 +142,11 @@ def exact_quantiles(
     good = wide.where(F.col("_found") == m).drop("_found")
 
     # exact fallback for any group whose bracket missed (not expected)
-    if not keys:
-        return good
+    if not keys:  # global: one row, already decided eagerly above
+        if good.count() == 1 or stats.first() is None:
+            return good
+        return base.agg(F.percentile("_v", F.array(*[F.lit(float(q)) for q in qs])).alias("_p")).select(
+            *[F.get("_p", i).alias(n) for i, n in enumerate(names)])
     missed = _ns_join(stats.select(*keys), good.select(*keys), keys, "left_anti")
     exact = _ns_join(base, missed, keys, "left_semi").groupBy(*keys).agg(
         F.percentile("_v", F.array(*[F.lit(float(q)) for q in qs])).alias("_p")

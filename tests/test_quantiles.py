@@ -70,3 +70,29 @@ def test_exact_quantiles_property(spark, rows, q):
             assert g not in got
             continue
         assert got[g] == pytest.approx(float(np.percentile(vals, q * 100)), rel=1e-9, abs=1e-9)
+
+
+def test_hot_group_candidates_are_bracket_sized(spark):
+    """A group holding a third of the rows reaches the final window as a few
+    thousand candidate values, not as its ~100k rows."""
+    from feeflow.operators.quantiles import quantile_candidates
+
+    n = 300_000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', CAST(id % 97 AS STRING)) END AS g",
+        "CAST((id * 7919) % 1000003 AS DOUBLE) / 7.0 AS v")
+    _, _, cand = quantile_candidates(df, ["g"], "v", [0.5], accuracy=1000, slack=4.0)
+    hot = cand.where("g = 'hot' AND _v IS NOT NULL").count()
+    assert 0 < hot <= 2 * 4.0 * (n / 3) / 1000 * 1.5
+    got = exact_quantiles(df, ["g"], "v", [0.5], ["m"], accuracy=1000).where("g = 'hot'").first().m
+    exp = df.where("g = 'hot'").agg(F.median("v")).first()[0]
+    assert got == exp
+
+
+def test_global_quantiles_without_keys(spark):
+    df = _data(spark, 11)
+    got = exact_quantiles(df, [], "v", QS, NAMES).first()
+    exp = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in QS]))).first()[0]
+    assert [got[n] for n in NAMES] == pytest.approx(exp, rel=1e-12)
+    plan = exact_quantiles(df, [], "v", [0.5], ["m"])._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
