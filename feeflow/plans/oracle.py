@@ -325,7 +325,7 @@ ORACLE = {
         "SELECT sequence_number, enqueued_time, "
         "CASE WHEN n_ok > 0 THEN 'mempool_blocks_event' ELSE 'stats_event' END AS payload_type, "
         "CAST(epoch(enqueued_time) AS BIGINT) AS timestamp, "
-        "CASE WHEN n_ok > 0 THEN n_ok END AS n_items FROM messages"
+        "CASE WHEN n_ok > 0 THEN CAST(n_ok AS INTEGER) END AS n_items FROM messages"
     ),
     "q_explode_outer": q(
         "SELECT sequence_number, enqueued_time, block_index, block_size, block_vsize, median_fee, n_tx, total_fees "
@@ -419,15 +419,15 @@ ORACLE = {
         " GROUP BY 1 HAVING count(*) > 1))"
     ),
     "q_check_not_null": q(
-        "SELECT 'not_null' AS test, 'mempool_id' AS column_name, count_if(mempool_id IS NULL) AS failures FROM inter "
-        "UNION ALL SELECT 'not_null', 'network_congestion_status', count_if(network_congestion_status IS NULL) "
-        "FROM inter UNION ALL SELECT 'not_null', 'avg_fee_per_tx', count_if(avg_fee_per_tx IS NULL) FROM inter "
-        "UNION ALL SELECT 'not_null', 'enqueued_time', count_if(enqueued_time IS NULL) FROM inter "
-        "UNION ALL SELECT 'p10_le_p99', 'fee_p10', count_if(fee_p10 > fee_p99) FROM inter"
+        "SELECT 'not_null' AS test, 'mempool_id' AS column_name, CAST(count_if(mempool_id IS NULL) AS BIGINT) AS failures FROM inter "
+        "UNION ALL SELECT 'not_null', 'network_congestion_status', CAST(count_if(network_congestion_status IS NULL) AS BIGINT) "
+        "FROM inter UNION ALL SELECT 'not_null', 'avg_fee_per_tx', CAST(count_if(avg_fee_per_tx IS NULL) AS BIGINT) FROM inter "
+        "UNION ALL SELECT 'not_null', 'enqueued_time', CAST(count_if(enqueued_time IS NULL) AS BIGINT) FROM inter "
+        "UNION ALL SELECT 'p10_le_p99', 'fee_p10', CAST(count_if(fee_p10 > fee_p99) AS BIGINT) FROM inter"
     ),
     "q_check_accepted": q(
         "SELECT 'accepted_values' AS test, 'network_congestion_status' AS column_name, "
-        "count_if(network_congestion_status NOT IN ('High Congestion', 'Moderate Congestion', 'Low Congestion')) "
+        "CAST(count_if(network_congestion_status NOT IN ('High Congestion', 'Moderate Congestion', 'Low Congestion')) AS BIGINT) "
         "AS failures FROM inter"
     ),
     "q_kpi_hourly": q(_KPI_H),

@@ -62,3 +62,16 @@ def test_schema_discovery_rows(spark):
     rows = E.queries()["q_schema_discovery"](spark, SF001).collect()
     types = {r["payload_type"] for r in rows}
     assert types == {"mempool_blocks_event", "stats_event"}
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF001)
+    rel = duck.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck_types[f.name], (name, f.name)
