@@ -25,9 +25,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 # -- capture and bronze -----------------------------------------------------------
 
 def read_capture(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
-                 merge_schema: bool = False) -> DataFrame:
-    """Read the whole capture tree (all sub-folders, any file name)."""
-    r = spark.read.format(fmt).option("recursiveFileLookup", "true")
+                 merge_schema: bool = False, options: dict | None = None) -> DataFrame:
+    """Read the whole capture tree (all sub-folders, any file name).
+
+    ``fmt`` is any Spark source; ``avro`` needs the spark-avro package on the
+    classpath (not on the test machine).  ``options`` pass through.
+    """
+    r = spark.read.format(fmt).options(**(options or {})).option("recursiveFileLookup", "true")
     if fmt == "avro":
         r = r.option("ignoreExtension", "true")
     if merge_schema:

@@ -41,13 +41,20 @@ GRAINS = {
 }
 
 
-def stream_capture(spark: SparkSession, path: str, fmt: str = "parquet", schema=S.CAPTURE,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Endless capture source: every file landing under ``path``."""
-    r = spark.readStream.format(fmt).schema(schema)
+def stream_capture(spark: SparkSession, path: str | None, fmt: str = "parquet", schema=S.CAPTURE,
+                   max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+    """Endless capture source: every file landing under ``path``.
+
+    Other sources (e.g. ``kafka`` with its bootstrap/topic ``options``, when
+    that package is present) go through ``fmt`` + ``options``; a source with
+    its own schema is read without ``schema=None``.
+    """
+    r = spark.readStream.format(fmt).options(**(options or {}))
+    if schema is not None:
+        r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return r.load(path) if path else r.load()
 
 
 def first_block_rows(capture: DataFrame) -> DataFrame:
