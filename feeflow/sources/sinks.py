@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import lower_columns, parse_event_time
+from feeflow.functions.expressions import parse_event_time
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -144,8 +144,9 @@ def load_mart(spark: SparkSession, name: str, snapshot_path: str, time_col: str,
     """
     try:
         live = spark.table(name)
-        snap = export_snapshot(live, snapshot_path, time_col, n)
-        return lower_columns(snap), "live"
+        export_snapshot(live, snapshot_path, time_col, n)
+        # serve the refreshed snapshot itself (500 rows), not a recomputation
+        return spark.read.parquet(snapshot_path), "live"
     except AnalysisException as live_err:
         try:
             return spark.read.parquet(snapshot_path), "snapshot"
