@@ -52,3 +52,11 @@ def test_static_broadcast_is_off(spark):
 def test_scans_prune_columns(spark):
     plan = _plan(E.queries()["q_tx_fanout"](spark, SF001))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,value:double>" in plan
+
+
+def test_mart_aggregates_run_in_whole_stage_codegen(spark):
+    df = E.queries()["q_mart_minute"](spark, SF001)
+    df.collect()  # the final adaptive plan carries the codegen stage ids
+    final = _plan(df).split("== Initial Plan ==")[0]
+    aggs = [ln for ln in final.splitlines() if "HashAggregate(" in ln and "ObjectHashAggregate" not in ln]
+    assert aggs and all("*(" in ln for ln in aggs)
