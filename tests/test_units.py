@@ -222,3 +222,19 @@ def test_round_to_ties_and_noise(spark):
     assert got[3] == 1e13 + 0.123
     assert got[4] is None
     assert got[5] == 0.0
+
+
+def test_latest_per_key_with_a_hot_key(spark):
+    n = 90_000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', CAST(id AS STRING)) END AS mempool_id",
+        "timestamp_add(SECOND, CAST(id % 1000 AS INT), TIMESTAMP_NTZ '2026-09-17 00:00:00') AS enqueued_time",
+        "CAST(id % 7 AS INT) AS block_index",
+        "id AS block_size")
+    out = latest_per_key(df, "mempool_id")
+    assert out.count() == 1 + (n - n // 3)
+    hot = out.where("mempool_id = 'hot'").first()
+    # newest second among the hot rows is 999 (ids = 999 mod 1000 with id % 3 = 0), then lowest block_index
+    exp = (df.where("mempool_id = 'hot'")
+           .orderBy(F.col("enqueued_time").desc(), F.col("block_index").asc(), F.col("block_size").asc()).first())
+    assert (hot.enqueued_time, hot.block_index, hot.block_size) == (exp.enqueued_time, exp.block_index, exp.block_size)
