@@ -228,7 +228,7 @@ def test_latest_per_key_with_a_hot_key(spark):
     n = 90_000
     df = spark.range(n).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', CAST(id AS STRING)) END AS mempool_id",
-        "timestamp_add(SECOND, CAST(id % 1000 AS INT), TIMESTAMP_NTZ '2026-09-17 00:00:00') AS enqueued_time",
+        "timestampadd(SECOND, CAST(id % 1000 AS INT), TIMESTAMP_NTZ '2026-09-17 00:00:00') AS enqueued_time",
         "CAST(id % 7 AS INT) AS block_index",
         "id AS block_size")
     out = latest_per_key(df, "mempool_id")
