@@ -18,11 +18,11 @@ from feeflow.operators.marts import mart_daily, mart_hourly, mart_minute
 from feeflow.operators.quality import run_declared_tests
 from feeflow.operators.staging import stage
 from feeflow.session import materialize_shared
-from feeflow.sources.fixtures import parsed_from_orders
+from feeflow.sources.fixtures import landed_parsed
 
 
 def staging_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(parsed_from_orders(spark, sf_dir))
+    return stage(landed_parsed(spark, sf_dir))
 
 
 def intermediate_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
