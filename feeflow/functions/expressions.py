@@ -65,6 +65,19 @@ def first_nonzero(*cols, default=0.0, treat_zero_as_missing: bool = True) -> Col
     return F.coalesce(*picks, F.lit(default))
 
 
+def first_nonzero_sql(*cols: str, default: str = "0.0D") -> str:
+    """SQL text of :func:`first_nonzero` over column names (one JVM call)."""
+    picks = ", ".join(f"CASE WHEN `{c}` <> 0 THEN `{c}` END" for c in cols)
+    return f"coalesce({picks}, {default})"
+
+
+def status_class_sql(col: str) -> str:
+    """SQL text of :func:`status_class` over a column name."""
+    up = f"upper(CAST(`{col}` AS STRING))"
+    hit = " OR ".join(f"contains({up}, '{w}')" for w in S.NORMAL_STATUS_WORDS)
+    return f"CASE WHEN coalesce({hit}, false) THEN 'normal' ELSE 'alert' END"
+
+
 def safe_ratio(num, den, otherwise=0.0) -> Column:
     """``num / den`` as double when ``den > 0``; ``otherwise`` (NULL allowed) else."""
     n, d = _c(num), _c(den)

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import first_nonzero, lower_columns, round_to, status_class
+from feeflow.functions.expressions import (
+    first_nonzero_sql,
+    lower_columns,
+    round_sql,
+    status_class,
+    status_class_sql,
+)
 
 HOUR_TIME = "time_hour"
 MINUTE_TIME = "time_minute"
@@ -54,60 +60,58 @@ def kpi_hourly(hourly: DataFrame) -> DataFrame:
 
     Values read the real mart columns first; zero counts as missing, as
     the dashboard does (average = total / blocks, maximum = total when 0).
+    Built as SQL expressions: one JVM call per figure keeps the lookup cheap.
     """
-    r = latest_row(hourly, HOUR_TIME)
-    tot_tx = first_nonzero("total_transactions", default=0)
-    blocks = first_nonzero("total_blocks", default=1)
-    avg_tx = first_nonzero("avg_transactions_per_block", default=0)
-    avg_tx = F.when((avg_tx == 0) & (blocks > 0), round_to(tot_tx / blocks, 6)).otherwise(avg_tx)
-    max_tx = first_nonzero("max_transactions_in_block", default=0)
-    max_tx = F.when(max_tx == 0, tot_tx).otherwise(max_tx)
-    return r.select(
-        F.col(HOUR_TIME),
-        F.col(STATUS).alias("congestion_status"),
-        F.col("hourly_fee_alert").alias("fee_alert"),
-        F.col("hourly_skewness_alert").alias("skewness_alert"),
-        tot_tx.cast("bigint").alias("total_transactions"),
-        blocks.cast("bigint").alias("total_blocks"),
-        avg_tx.cast("double").alias("avg_tx_per_block"),
-        max_tx.cast("bigint").alias("max_tx_per_block"),
-        (first_nonzero("total_block_size", default=0) / 1e6).alias("total_block_size_mb"),
-        first_nonzero("avg_block_vsize").cast("double").alias("avg_block_vsize"),
-        first_nonzero("avg_fee_p10").alias("p10_fee"),
-        first_nonzero("avg_fee_p25").alias("p25_fee"),
-        first_nonzero("avg_fee_p50", "avg_median_fee").alias("p50_fee"),
-        first_nonzero("avg_fee_p75").alias("p75_fee"),
-        first_nonzero("avg_fee_p90").alias("p90_fee"),
-        first_nonzero("avg_fee_p95").alias("p95_fee"),
-        first_nonzero("avg_fee_p99", "max_fee_p99_hourly").alias("p99_fee"),
-        first_nonzero("avg_fee_spread").alias("avg_fee_spread"),
-        first_nonzero("avg_iqr_fee").alias("iqr_fee"),
-        first_nonzero("avg_fee_skewness").alias("fee_skewness"),
-        first_nonzero("avg_miner_revenue_per_byte").alias("miner_revenue_ratio"),
-        first_nonzero("avg_block_compression").alias("block_compactness"),
-        status_class(F.col(STATUS)).alias("congestion_class"),
-        status_class(F.col("hourly_fee_alert")).alias("fee_alert_class"),
-        status_class(F.col("hourly_skewness_alert")).alias("skewness_alert_class"),
+    nz = first_nonzero_sql
+    tot, blocks = nz("total_transactions", default="0"), nz("total_blocks", default="1")
+    avg, mx = nz("avg_transactions_per_block", default="0"), nz("max_transactions_in_block", default="0")
+    return latest_row(hourly, HOUR_TIME).selectExpr(
+        f"`{HOUR_TIME}`",
+        f"`{STATUS}` AS congestion_status",
+        "hourly_fee_alert AS fee_alert",
+        "hourly_skewness_alert AS skewness_alert",
+        f"CAST({tot} AS BIGINT) AS total_transactions",
+        f"CAST({blocks} AS BIGINT) AS total_blocks",
+        f"CAST(CASE WHEN {avg} = 0 AND {blocks} > 0 THEN {round_sql(f'({tot}) / ({blocks})', 6)} "
+        f"ELSE {avg} END AS DOUBLE) AS avg_tx_per_block",
+        f"CAST(CASE WHEN {mx} = 0 THEN {tot} ELSE {mx} END AS BIGINT) AS max_tx_per_block",
+        f"{nz('total_block_size', default='0')} / 1000000.0D AS total_block_size_mb",
+        f"CAST({nz('avg_block_vsize')} AS DOUBLE) AS avg_block_vsize",
+        f"{nz('avg_fee_p10')} AS p10_fee",
+        f"{nz('avg_fee_p25')} AS p25_fee",
+        f"{nz('avg_fee_p50', 'avg_median_fee')} AS p50_fee",
+        f"{nz('avg_fee_p75')} AS p75_fee",
+        f"{nz('avg_fee_p90')} AS p90_fee",
+        f"{nz('avg_fee_p95')} AS p95_fee",
+        f"{nz('avg_fee_p99', 'max_fee_p99_hourly')} AS p99_fee",
+        f"{nz('avg_fee_spread')} AS avg_fee_spread",
+        f"{nz('avg_iqr_fee')} AS iqr_fee",
+        f"{nz('avg_fee_skewness')} AS fee_skewness",
+        f"{nz('avg_miner_revenue_per_byte')} AS miner_revenue_ratio",
+        f"{nz('avg_block_compression')} AS block_compactness",
+        f"{status_class_sql(STATUS)} AS congestion_class",
+        f"{status_class_sql('hourly_fee_alert')} AS fee_alert_class",
+        f"{status_class_sql('hourly_skewness_alert')} AS skewness_alert_class",
     )
 
 
 def kpi_minute(minute: DataFrame) -> DataFrame:
     """KPI row of the newest minute: 4 statuses and 5 fee figures."""
-    r = latest_row(minute, MINUTE_TIME)
-    return r.select(
-        F.col(MINUTE_TIME),
-        F.col("fee_spike_alert"),
-        F.col("fee_skewness_alert"),
-        F.col("congestion_alert"),
-        F.col(STATUS).alias("congestion_status"),
-        first_nonzero("avg_fee_p10").alias("p10_fee"),
-        first_nonzero("avg_fee_p50", "avg_median_fee").alias("p50_fee"),
-        first_nonzero("avg_fee_p90").alias("p90_fee"),
-        first_nonzero("avg_fee_p99").alias("p99_fee"),
-        first_nonzero("peak_fee_p99").alias("peak_p99_fee"),
-        status_class(F.col("fee_spike_alert")).alias("spike_class"),
-        status_class(F.col("fee_skewness_alert")).alias("whale_class"),
-        status_class(F.col("congestion_alert")).alias("congestion_alert_class"),
+    nz = first_nonzero_sql
+    return latest_row(minute, MINUTE_TIME).selectExpr(
+        f"`{MINUTE_TIME}`",
+        "fee_spike_alert",
+        "fee_skewness_alert",
+        "congestion_alert",
+        f"`{STATUS}` AS congestion_status",
+        f"{nz('avg_fee_p10')} AS p10_fee",
+        f"{nz('avg_fee_p50', 'avg_median_fee')} AS p50_fee",
+        f"{nz('avg_fee_p90')} AS p90_fee",
+        f"{nz('avg_fee_p99')} AS p99_fee",
+        f"{nz('peak_fee_p99')} AS peak_p99_fee",
+        f"{status_class_sql('fee_spike_alert')} AS spike_class",
+        f"{status_class_sql('fee_skewness_alert')} AS whale_class",
+        f"{status_class_sql('congestion_alert')} AS congestion_alert_class",
     )
 
 
