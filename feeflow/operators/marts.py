@@ -13,11 +13,11 @@ conditions compare the unrounded aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import round_to, time_bucket
+from feeflow.functions.expressions import round_sql, round_to, time_bucket
 from feeflow.operators.quantiles import _ns_join, exact_quantiles
 
 DEFAULT_PRECISION = 6
@@ -102,6 +102,11 @@ MINUTE_AGGS = _BLOCK_AGGS + [
 ]
 
 
+def _sql_rounded(expr: str, precision: int | None) -> Column:
+    """A SQL expression, rounded to ``precision`` (one JVM call)."""
+    return F.expr(round_sql(expr, precision) if precision is not None else expr)
+
+
 def _count_status(label: str) -> Column:
     return F.count(F.when(F.col("network_congestion_status") == F.lit(label), F.lit(1)))
 
@@ -247,21 +252,19 @@ def congestion_share(int_df: DataFrame, precision: int | None = DEFAULT_PRECISIO
     """Rows and share of all rows per congestion class (three groups; the
     window total runs over the already-aggregated three rows)."""
     counts = int_df.groupBy("network_congestion_status").agg(F.count(F.lit(1)).alias("n_rows"))
-    share = F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy())
     return counts.select("network_congestion_status", "n_rows",
-                         (round_to(share, precision) if precision is not None else share).alias("share"))
+                         _sql_rounded("`n_rows` / sum(`n_rows`) OVER ()", precision).alias("share"))
 
 
 def exec_kpis(daily: DataFrame, dates: list | None = None, precision: int | None = DEFAULT_PRECISION) -> DataFrame:
     """Whole-period totals over (optionally selected) days of the daily mart."""
     d = daily_slice(daily, dates) if dates else daily
-    r = (lambda c: round_to(c, precision)) if precision is not None else (lambda c: c)
     return d.agg(
         F.count(F.lit(1)).alias("n_days"),
         F.sum("total_daily_transactions").cast("bigint").alias("total_transactions"),
         F.sum("daily_total_miner_revenue").cast("bigint").alias("total_revenue"),
-        r(F.avg("avg_daily_block_size")).alias("avg_block_size"),
-        r(F.avg("daily_overall_median_fee")).alias("avg_median_fee"),
+        _sql_rounded("avg(`avg_daily_block_size`)", precision).alias("avg_block_size"),
+        _sql_rounded("avg(`daily_overall_median_fee`)", precision).alias("avg_median_fee"),
     )
 
 
@@ -297,9 +300,8 @@ def tx_velocity(int_df: DataFrame, grain: str = "hour", precision: int | None =
         F.timestamp_add("SECOND", F.lit(GRAIN_SECONDS[grain]), F.col("bucket")).alias("bucket"),
         F.col("transactions").alias("_prev"),
     )
-    rate = F.col("transactions") / F.lit(float(GRAIN_SECONDS[grain]))
-    r = (lambda c: round_to(c, precision)) if precision is not None else (lambda c: c)
+    rate = f"`transactions` / {float(GRAIN_SECONDS[grain])!r}D"
     return b.join(prev, "bucket", "left").select(
-        "bucket", "transactions", r(rate).alias("tx_per_second"),
+        "bucket", "transactions", _sql_rounded(rate, precision).alias("tx_per_second"),
         (F.col("transactions") - F.col("_prev")).alias("change_vs_previous"),
     )
