@@ -70,8 +70,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the platform (a shared file system) and
-    is only read here.  Only when it is unset - local tests - a fresh
-    scratch folder is created and registered.
+    is only read here.  Where it is unset on a local master - tests - a
+    fresh scratch folder is created and registered; any other master is an
+    error, as executors would write to their own disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -81,6 +82,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: a cluster needs a folder that "
+                f"all executors share (master {sc.master})")
         conf_dir = tempfile.mkdtemp(prefix="feeflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
