@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import suffix_dedup
+from feeflow.llm import quality_rules, suffix_dedup
 from feeflow.llm.common import table
 
 
@@ -19,8 +19,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_quality_rules": op6_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
