@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import quality_rules, suffix_dedup
-from feeflow.llm.common import table
+from feeflow.llm import line_spread, quality_rules, sharding, suffix_dedup
+from feeflow.llm.common import table, text_of
+
+
+def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,13 +23,23 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.drop_spread_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.md5(text_of()).alias("text_md5"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_extendible_shards": op1_extendible_shards,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_line_spread": op5_line_spread,
     "op6_quality_rules": op6_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_extendible_shards": sharding.ORACLE,
+    "op5_line_spread": line_spread.ORACLE,
+}
