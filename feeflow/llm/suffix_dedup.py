@@ -98,21 +98,22 @@ def _valid_positions(offsets: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def batch_runs(column: pa.Array, threshold: int = THRESHOLD, seed: int = SEED):
-    """Yield (row, low in the row, n, at, seed rank, span rank) arrays."""
+    """Yield (row, low in the row, n, at, seed rank, span rank) arrays.
+
+    Rows go through in blocks of about ``SEGMENT`` bytes; a longer row is cut
+    into overlapping segments, so memory stays at a few arrays of a segment.
+    """
     data, offsets = text_buffer(column)
-    if len(data) < threshold:
-        return
-    valid = _valid_positions(offsets, threshold)
-    for start in range(0, len(data), SEGMENT):
-        here = valid[start: start + SEGMENT]
-        if not here.any():
-            continue
-        part = data[start: start + SEGMENT + threshold - 1]
-        if len(part) < threshold:
-            continue
-        low, n, at, seeds, spans = segment_runs(part, here, threshold, seed)
-        row = np.searchsorted(offsets, low + start, side="right") - 1
-        yield row, low + start - offsets[row], n, at, seeds, spans
+    for a, b in row_slices(offsets, SEGMENT):
+        block, bounds = data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
+        for start in range(0, len(block), SEGMENT):
+            part = block[start: start + SEGMENT + threshold - 1]
+            if len(part) < threshold:
+                continue
+            here = _valid_positions(np.clip(bounds - start, 0, len(part)), threshold)[:SEGMENT]
+            low, n, at, seeds, spans = segment_runs(part, here, threshold, seed)
+            row = np.searchsorted(bounds, low + start, side="right") - 1
+            yield row + a, low + start - bounds[row], n, at, seeds, spans
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -266,24 +267,25 @@ def _cut(threshold: int):
             bounds = lists.offsets.to_numpy().astype(np.int64)
             low = lists.values.field("low").to_numpy(zero_copy_only=False)
             n = lists.values.field("n").to_numpy(zero_copy_only=False)
-            kept, spans, removed = [], [], []
-            for row in range(len(batch)):
-                text = data[offsets[row]: offsets[row + 1]]
-                mine = slice(bounds[row], bounds[row + 1])
-                change = np.zeros(len(text) + 1, dtype=np.int32)
-                np.add.at(change, low[mine], 1)
-                np.add.at(change, low[mine] + n[mine] + threshold - 1, -1)
-                covered = np.cumsum(change[:-1]) > 0
-                edges = np.flatnonzero(np.diff(covered, prepend=False, append=False))
-                spans.append([{"start": s, "end": e} for s, e in edges.reshape(-1, 2).tolist()])
-                kept.append(text[~covered].tobytes())
-                removed.append(int(covered.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(offsets)),
-                 pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            for a, b in row_slices(offsets, SEGMENT):
+                kept, spans, removed = [], [], []
+                for row in range(a, b):
+                    text = data[offsets[row]: offsets[row + 1]]
+                    mine = slice(bounds[row], bounds[row + 1])
+                    change = np.zeros(len(text) + 1, dtype=np.int32)
+                    np.add.at(change, low[mine], 1)
+                    np.add.at(change, low[mine] + n[mine] + threshold - 1, -1)
+                    covered = np.cumsum(change[:-1], dtype=np.int32) > 0
+                    edges = np.flatnonzero(np.diff(covered, prepend=False, append=False))
+                    spans.append([{"start": s, "end": e} for s, e in edges.reshape(-1, 2).tolist()])
+                    kept.append(text[~covered].tobytes())
+                    removed.append(int(covered.sum()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(offsets[a: b + 1])),
+                     pa.array(removed, pa.int64()),
+                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                     pa.array(kept, pa.binary())],
+                    names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
     return cut
 
 
