@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import line_spread, quality_rules, sharding, suffix_dedup
+from feeflow.llm import line_spread, packing, quality_rules, sharding, suffix_dedup, token_orc
 from feeflow.llm.common import table, text_of
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -32,11 +38,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(),
+                        with_ids=False).drop("ids")
+
+
+def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_orc.token_files(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_extendible_shards": op1_extendible_shards,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_spread": op5_line_spread,
     "op6_quality_rules": op6_quality_rules,
+    "op8_nnls_packing": op8_nnls_packing,
+    "op10_token_orc": op10_token_orc,
 }
 
 ORACLE: dict[str, str] = {

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feeflow.session import materialize_shared
+from feeflow.session import scratch_path
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,7 +24,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return materialize_shared(df, f"llm-{name}")
+        path = scratch_path(df.sparkSession, f"llm-{name}")
+        df.write.option("compression", "zstd").parquet(path)
+        return df.sparkSession.read.parquet(path)
     finally:
         conf.set(key, before)
 
