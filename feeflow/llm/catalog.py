@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import line_spread, packing, quality_rules, sharding, suffix_dedup, token_orc
+from feeflow.llm import decontaminate, line_spread, packing, quality_rules, sharding, suffix_dedup, token_orc
 from feeflow.llm.common import table, text_of
 
 
@@ -38,6 +38,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_pigeonhole_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(),
                         with_ids=False).drop("ids")
@@ -52,6 +57,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_spread": op5_line_spread,
     "op6_quality_rules": op6_quality_rules,
+    "op7_pigeonhole_edit": op7_pigeonhole_edit,
     "op8_nnls_packing": op8_nnls_packing,
     "op10_token_orc": op10_token_orc,
 }
