@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import decontaminate, line_spread, packing, quality_rules, sharding, suffix_dedup, token_orc
+from feeflow.llm import (decontaminate, line_spread, order_minhash, packing, quality_rules, sharding,
+                         suffix_dedup, token_orc)
 from feeflow.llm.common import table, text_of
 
 
@@ -23,6 +24,15 @@ def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its group (the least doc_id in it) and the
+    group's size."""
+    found = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    groups = found.groupBy("root").agg(F.min("doc_id").alias("class_id"),
+                                       F.count(F.lit(1)).alias("class_size"))
+    return found.join(groups, "root").select("doc_id", "class_id", "class_size", "n_words")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -54,6 +64,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_extendible_shards": op1_extendible_shards,
+    "op3_order_minhash": op3_order_minhash,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_spread": op5_line_spread,
     "op6_quality_rules": op6_quality_rules,
