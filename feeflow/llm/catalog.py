@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import (decontaminate, line_spread, order_minhash, packing, quality_rules, sharding,
-                         suffix_dedup, token_orc)
+from feeflow.llm import (decontaminate, line_spread, order_minhash, packing, quality_fm, quality_rules,
+                         sharding, suffix_dedup, token_orc)
 from feeflow.llm.common import table, text_of
 
 
@@ -58,6 +58,12 @@ def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False).drop("ids")
 
 
+def op9_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    machine = quality_fm.train(documents, table(spark, sf_dir, "labels"))
+    return quality_fm.score(documents, machine)
+
+
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_files(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -70,6 +76,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_pigeonhole_edit": op7_pigeonhole_edit,
     "op8_nnls_packing": op8_nnls_packing,
+    "op9_factorisation_machine": op9_factorisation_machine,
     "op10_token_orc": op10_token_orc,
 }
 
