@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import (decontaminate, line_spread, order_minhash, packing, quality_fm, quality_rules,
+from feeflow.llm import (decontaminate, licenses, line_spread, order_minhash, packing, quality_fm, quality_rules,
                          sharding, suffix_dedup, token_orc)
 from feeflow.llm.common import table, text_of
 
@@ -24,6 +24,12 @@ def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licenses.document_files(table(spark, sf_dir, "documents"))
+    return licenses.scan(files).select("doc_id", "licence", "origin",
+                                       F.round("similarity", 6).alias("similarity"))
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its group (the least doc_id in it) and the
     group's size."""
@@ -70,6 +76,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_extendible_shards": op1_extendible_shards,
+    "op2_license_scan": op2_license_scan,
     "op3_order_minhash": op3_order_minhash,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_spread": op5_line_spread,
@@ -82,5 +89,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_extendible_shards": sharding.ORACLE,
+    "op2_license_scan": licenses.ORACLE,
     "op5_line_spread": line_spread.ORACLE,
 }

@@ -31,6 +31,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def small(df: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """``df`` (a stored table) marked for broadcast where its counted rows are
+    within ``most_rows``; beyond that the join shuffles, and adaptive execution
+    splits its skewed partitions."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def text_of(column: str = "text") -> Column:
     """The text as a string; a null is the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
