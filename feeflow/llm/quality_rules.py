@@ -222,10 +222,10 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_covered_words", "longest_repeat")
 
 
-def _counted(least: int, carried: list[str]):
+def _counted(least: int, carried: list[str], source: str):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch.column("_text"))
+            data, offsets = text_buffer(batch.column(source))
             for a, b in row_slices(offsets, BLOCK):
                 found = measure(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], least)
                 yield pa.RecordBatch.from_arrays(
@@ -252,8 +252,9 @@ def quality_rules(documents: DataFrame, carried: tuple[str, ...] = ("doc_id",),
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + [f"{c} long" for c in COUNTS])
     names = [f.name for f in fields]
-    counts = documents.select(*[F.col(f"`{c}`") for c in names], text_of().alias("_text")) \
-        .mapInArrow(_counted(min_repeat, names), schema)
+    extra = [] if "text" in names else [text_of().alias("_text")]
+    counts = documents.select(*[F.col(f"`{c}`") for c in names], *extra) \
+        .mapInArrow(_counted(min_repeat, names, "_text" if extra else "text"), schema)
     base = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_WINDOW_PERCENT * F.col("n_words"))
     good = ((F.col("n_covered_words") <= max_covered * F.col("n_words"))
