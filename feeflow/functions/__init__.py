@@ -2,13 +2,11 @@ from feeflow.functions.expressions import (  # noqa: F401
     congestion_status,
     epoch_seconds,
     fee_percentile_columns,
-    first_nonzero,
     key_text,
     lower_columns,
     number_format,
     parse_event_time,
     safe_ratio,
-    status_class,
     surrogate_key,
     time_bucket,
 )

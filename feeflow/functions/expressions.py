@@ -6,8 +6,6 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,30 +47,14 @@ def congestion_status(median_fee="median_fee") -> Column:
     )
 
 
-def status_class(status) -> Column:
-    """'normal' when the upper-cased status contains a normal word, else 'alert'."""
-    up = F.upper(_c(status).cast("string"))
-    hit = reduce(lambda a, b: a | b, [up.contains(w) for w in S.NORMAL_STATUS_WORDS])
-    return F.when(F.coalesce(hit, F.lit(False)), F.lit("normal")).otherwise(F.lit("alert"))
-
-
-def first_nonzero(*cols, default=0.0, treat_zero_as_missing: bool = True) -> Column:
-    """First column value that is present (and non-zero), else ``default``."""
-    picks = []
-    for c in cols:
-        col = _c(c)
-        picks.append(F.when(col != F.lit(0), col) if treat_zero_as_missing else col)
-    return F.coalesce(*picks, F.lit(default))
-
-
 def first_nonzero_sql(*cols: str, default: str = "0.0D") -> str:
-    """SQL text of :func:`first_nonzero` over column names (one JVM call)."""
+    """First column value that is present and non-zero, else ``default``."""
     picks = ", ".join(f"CASE WHEN `{c}` <> 0 THEN `{c}` END" for c in cols)
     return f"coalesce({picks}, {default})"
 
 
 def status_class_sql(col: str) -> str:
-    """SQL text of :func:`status_class` over a column name."""
+    """'normal' when the upper-cased status contains a normal word, else 'alert'."""
     up = f"upper(CAST(`{col}` AS STRING))"
     hit = " OR ".join(f"contains({up}, '{w}')" for w in S.NORMAL_STATUS_WORDS)
     return f"CASE WHEN coalesce({hit}, false) THEN 'normal' ELSE 'alert' END"
@@ -121,45 +103,46 @@ def number_format(c, decimals: int) -> Column:
     return F.format_number(_c(c), decimals)
 
 
-# -- fixed-precision rounding ---------------------------------------------------
+# -- reproducible averages and rounding -----------------------------------------
+
+def exact_avg_sql(c: str, floor_type: str = "BIGINT") -> str:
+    """SQL text of an average that does not depend on the summation order.
 
-# Values at or above this pass through unrounded: the first step scales by
-# 10^(d+3) and Spark's floor(double) returns a 64-bit integer; a double this
-# large has no 6th decimal left to round anyway.
-ROUND_LIMIT = 1e9
+    A plain sum of doubles changes its last bits with the partitioning.  Here
+    every value is cut, exactly, into its whole part and two 26-bit pieces of
+    its fraction (52 bits; what lies below 2^-52 is beyond the double's own
+    precision from 1 up); the pieces are integers, so their sums are exact.
+    Values of 1e15 and more, infinities and NaN are added as they are.
+    """
+    x = f"CAST(`{c}` AS DOUBLE)"
+    near = f"abs({x}) < 1e15D"
+    piece = 1 << 26
+    rest = f"({x} - floor({x})) * {piece}.0D"
+    whole = f"sum(CASE WHEN {near} THEN CAST(floor({x}) AS {floor_type}) ELSE 0 END)"
+    high = f"sum(CASE WHEN {near} THEN CAST(floor({rest}) AS {floor_type}) ELSE 0 END)"
+    low = f"sum(CASE WHEN {near} THEN CAST(floor(({rest} - floor({rest})) * {piece}.0D) AS {floor_type}) ELSE 0 END)"
+    far = f"coalesce(sum(CASE WHEN NOT ({near}) THEN {x} END), 0.0D)"
+    total = (f"(CAST({whole} AS DOUBLE) + CAST({high} AS DOUBLE) / {piece}.0D "
+             f"+ CAST({low} AS DOUBLE) / {float(piece) ** 2!r}D + {far})")
+    return f"(CASE WHEN count(`{c}`) > 0 THEN {total} / count(`{c}`) END)"
 
 
 def round_sql(expr: str, digits: int) -> str:
-    """SQL text of :func:`round_to` over a SQL expression (one parse, one
-    JVM call; the same text runs in DuckDB apart from the literal suffixes)."""
+    """SQL text of :func:`round_to` over a SQL expression."""
     x = f"CAST(({expr}) AS DOUBLE)"
 
     def step(v: str, d: int) -> str:
-        sc = f"{float(10 ** d)!r}D"
-        return f"(signum({v}) * CAST(floor(abs({v}) * {sc} + 0.5D) AS DOUBLE) / {sc})"
+        return f"(rint({v} * {float(10 ** d)!r}D) / {float(10 ** d)!r}D)"
 
-    return f"(CASE WHEN abs({x}) < {ROUND_LIMIT!r}D THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
+    return step(step(x, digits + 3), digits)
 
 
-def round_to(c, digits: int) -> Column:
-    """Round half away from zero with plain IEEE steps (two-stage).
+def round_to(c: str, digits: int) -> Column:
+    """Round a column, for comparing results between engines.
 
-    ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``: multiplication, addition,
-    floor and division are exactly specified in IEEE-754, so any engine that
-    evaluates the same formula returns the same double (``round`` differs
-    between engines: some round the shortest decimal text, some the binary
-    value).  A first step at three more digits absorbs last-bit noise from
-    summation order, so a true decimal tie (x.xxxxxx5) rounds the same way
-    however the sum was ordered.  ``c`` may be a column name (fast path: one
-    SQL expression) or a Column.
+    ``rint(x * 10^d) / 10^d``, first at three more digits: multiplication,
+    rounding to the nearest whole double and division are exactly specified,
+    so any engine that evaluates them returns the same double at every
+    magnitude.  Stored tables are not rounded.
     """
-    if isinstance(c, str):
-        return F.expr(round_sql(f"`{c}`", digits))
-    x = c.cast("double")
-
-    def step(v, d):
-        scale = F.lit(float(10 ** d))
-        return F.signum(v) * F.floor(F.abs(v) * scale + F.lit(0.5)).cast("double") / scale
-
-    r = step(step(x, digits + 3), digits)
-    return F.when(F.abs(x) < F.lit(ROUND_LIMIT), r).otherwise(x)
+    return F.expr(round_sql(f"`{c}`", digits))

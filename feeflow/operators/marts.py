@@ -5,10 +5,10 @@ is a single partial+final hash aggregate (the one exact distinct column is
 planned without an Expand); the exact daily median runs as the
 distributed :func:`exact_quantiles` and joins back on the day.
 
-Numeric conventions: sums of integer columns are BIGINT; averages and the
-median are rounded to ``precision`` decimals (the warehouse prints fixed
-scale; it also makes results independent of summation order).  Alert
-conditions compare the unrounded aggregates.
+Numeric conventions: sums of integer columns are BIGINT; averages are summed
+exactly, so they do not depend on the partitioning, and nothing is rounded
+unless ``precision`` is given (comparisons between engines).  Alert
+conditions compare the same averages.
 """
 
 from __future__ import annotations
@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import round_sql, round_to, time_bucket
+from feeflow.functions.expressions import exact_avg_sql, round_sql, round_to, time_bucket
 from feeflow.operators.quantiles import _ns_join, exact_quantiles
 
-DEFAULT_PRECISION = 6
-
 # (output name, aggregate kind, input column) per mart, in output order.
 DAILY_AGGS = [
     ("total_blocks_processed", "count_distinct", "sequence_number"),
@@ -111,12 +109,14 @@ def _count_status(label: str) -> Column:
     return F.count(F.when(F.col("network_congestion_status") == F.lit(label), F.lit(1)))
 
 
-_AGG_SQL = {"sum": "CAST(sum(`{c}`) AS BIGINT)", "avg": "avg(`{c}`)", "max": "max(`{c}`)", "min": "min(`{c}`)"}
+_AGG_SQL = {"sum": "CAST(sum(`{c}`) AS BIGINT)", "max": "max(`{c}`)", "min": "min(`{c}`)"}
 ROUNDED_KINDS = ("avg", "median")
 
 
 def agg_expr(kind: str, col: str, distinct: str = "exact", median: str = "builtin") -> Column:
     """One unrounded aggregate (built as SQL text: one JVM call per column)."""
+    if kind == "avg":
+        return F.expr(exact_avg_sql(col))
     if kind in _AGG_SQL:
         return F.expr(_AGG_SQL[kind].format(c=col))
     if kind == "count_distinct":
@@ -152,7 +152,7 @@ def daily_alerts() -> list[Column]:
 
 
 def hourly_alerts() -> list[Column]:
-    avg_med = F.avg("median_fee")
+    avg_med = F.expr(exact_avg_sql("median_fee"))
     return [
         F.when(avg_med > S.HOURLY_FEE_CRITICAL_ABOVE, F.lit(S.HOURLY_FEE_CRITICAL))
         .when(avg_med.between(S.HOURLY_FEE_WARNING_FROM, S.HOURLY_FEE_CRITICAL_ABOVE), F.lit(S.HOURLY_FEE_WARNING))
@@ -209,21 +209,21 @@ def _mart(
     return round_outputs(out, spec, precision)
 
 
-def mart_daily(int_df: DataFrame, precision: int | None = DEFAULT_PRECISION, distinct: str = "exact",
+def mart_daily(int_df: DataFrame, precision: int | None = None, distinct: str = "exact",
                median: str = "distributed", time_col: str = "enqueued_time") -> DataFrame:
     """Daily mart (25 columns): one row per day."""
     return _mart(int_df, [time_bucket(time_col, "day").alias("mempool_date")], ["mempool_date"],
                  DAILY_AGGS, daily_alerts(), precision, distinct, median)
 
 
-def mart_hourly(int_df: DataFrame, precision: int | None = DEFAULT_PRECISION, distinct: str = "exact",
+def mart_hourly(int_df: DataFrame, precision: int | None = None, distinct: str = "exact",
                 time_col: str = "enqueued_time") -> DataFrame:
     """Hourly mart (34 columns): one row per hour and congestion status."""
     return _mart(int_df, [time_bucket(time_col, "hour").alias("time_hour"), F.col("network_congestion_status")],
                  ["time_hour", "network_congestion_status"], HOURLY_AGGS, hourly_alerts(), precision, distinct, "builtin")
 
 
-def mart_minute(int_df: DataFrame, precision: int | None = DEFAULT_PRECISION, distinct: str = "exact",
+def mart_minute(int_df: DataFrame, precision: int | None = None, distinct: str = "exact",
                 time_col: str = "enqueued_time") -> DataFrame:
     """Minute mart (35 columns): one row per minute and congestion status."""
     return _mart(int_df, [time_bucket(time_col, "minute").alias("time_minute"), F.col("network_congestion_status")],
@@ -236,7 +236,7 @@ PERCENTILE_LEVELS = (0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
 
 def fee_percentiles(tx: DataFrame, by: str = "ts", grain: str = "day", value: str = "rate",
-                    precision: int | None = DEFAULT_PRECISION) -> DataFrame:
+                    precision: int | None = None) -> DataFrame:
     """Exact P10..P99 of transaction fee rates per time bucket (distributed)."""
     names = [f"rate_p{int(round(q * 100))}" for q in PERCENTILE_LEVELS]
     keyed = tx.select(time_bucket(by, grain).alias("bucket"), F.col(value))
@@ -248,7 +248,7 @@ def fee_percentiles(tx: DataFrame, by: str = "ts", grain: str = "day", value: st
     return out
 
 
-def congestion_share(int_df: DataFrame, precision: int | None = DEFAULT_PRECISION) -> DataFrame:
+def congestion_share(int_df: DataFrame, precision: int | None = None) -> DataFrame:
     """Rows and share of all rows per congestion class (three groups; the
     window total runs over the already-aggregated three rows)."""
     counts = int_df.groupBy("network_congestion_status").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -256,15 +256,15 @@ def congestion_share(int_df: DataFrame, precision: int | None = DEFAULT_PRECISIO
                          _sql_rounded("`n_rows` / sum(`n_rows`) OVER ()", precision).alias("share"))
 
 
-def exec_kpis(daily: DataFrame, dates: list | None = None, precision: int | None = DEFAULT_PRECISION) -> DataFrame:
+def exec_kpis(daily: DataFrame, dates: list | None = None, precision: int | None = None) -> DataFrame:
     """Whole-period totals over (optionally selected) days of the daily mart."""
     d = daily_slice(daily, dates) if dates else daily
     return d.agg(
         F.count(F.lit(1)).alias("n_days"),
         F.sum("total_daily_transactions").cast("bigint").alias("total_transactions"),
         F.sum("daily_total_miner_revenue").cast("bigint").alias("total_revenue"),
-        _sql_rounded("avg(`avg_daily_block_size`)", precision).alias("avg_block_size"),
-        _sql_rounded("avg(`daily_overall_median_fee`)", precision).alias("avg_median_fee"),
+        _sql_rounded(exact_avg_sql("avg_daily_block_size"), precision).alias("avg_block_size"),
+        _sql_rounded(exact_avg_sql("daily_overall_median_fee"), precision).alias("avg_median_fee"),
     )
 
 
@@ -284,7 +284,7 @@ def daily_slice(daily: DataFrame, dates: list | None = None, start=None, end=Non
 GRAIN_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
 
 
-def tx_velocity(int_df: DataFrame, grain: str = "hour", precision: int | None = DEFAULT_PRECISION,
+def tx_velocity(int_df: DataFrame, grain: str = "hour", precision: int | None = None,
                 time_col: str = "enqueued_time") -> DataFrame:
     """Transactions per second per bucket and the change against the
     calendar-previous bucket (NULL when that bucket has no rows).

@@ -14,8 +14,6 @@ from feeflow import schemas as S
 from feeflow.functions.expressions import (
     first_nonzero_sql,
     lower_columns,
-    round_sql,
-    status_class,
     status_class_sql,
 )
 
@@ -72,7 +70,7 @@ def kpi_hourly(hourly: DataFrame) -> DataFrame:
         "hourly_skewness_alert AS skewness_alert",
         f"CAST({tot} AS BIGINT) AS total_transactions",
         f"CAST({blocks} AS BIGINT) AS total_blocks",
-        f"CAST(CASE WHEN {avg} = 0 AND {blocks} > 0 THEN {round_sql(f'({tot}) / ({blocks})', 6)} "
+        f"CAST(CASE WHEN {avg} = 0 AND {blocks} > 0 THEN ({tot}) / ({blocks}) "
         f"ELSE {avg} END AS DOUBLE) AS avg_tx_per_block",
         f"CAST(CASE WHEN {mx} = 0 THEN {tot} ELSE {mx} END AS BIGINT) AS max_tx_per_block",
         f"{nz('total_block_size', default='0')} / 1000000.0D AS total_block_size_mb",

@@ -87,12 +87,12 @@ def incremental_slice(
 
 
 def dedup_order(df: DataFrame, time_col: str = "enqueued_time") -> list:
-    """Newest first, then lowest block position, then value columns (total order)."""
-    order = [F.col(time_col).desc_nulls_last()]
-    if "block_index" in df.columns:
-        order.append(F.col("block_index").asc_nulls_last())
-    order += [F.col(c).asc_nulls_last() for c in ("block_size", "total_fees", "median_fee") if c in df.columns]
-    return order
+    """Newest first, then lowest block position, then every value column: only
+    rows equal in all of them tie, and those are interchangeable."""
+    values = ("block_index", "block_size", "total_fees", "median_fee", "block_vsize",
+              "number_of_transactions", *S.FEE_PERCENTILE_COLUMNS)
+    return [F.col(time_col).desc_nulls_last()] + [
+        F.col(c).asc_nulls_last() for c in values if c in df.columns]
 
 
 def latest_per_key(df: DataFrame, key: str = "mempool_id", order: list | None = None) -> DataFrame:
@@ -107,11 +107,10 @@ def latest_per_key(df: DataFrame, key: str = "mempool_id", order: list | None =
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, key: str = "mempool_id") -> DataFrame:
-    """Logical upsert: target rows whose key is not in the batch, plus the batch
-    (itself reduced to the latest row per key)."""
-    latest = latest_per_key(batch, key)
-    kept = target.join(latest.select(key), key, "left_anti")
-    return kept.unionByName(latest.select(*target.columns))
+    """Logical upsert: the best row per key of target and batch together, by
+    the order of a full refresh, so the result does not depend on how the rows
+    were split into loads."""
+    return latest_per_key(target.unionByName(batch.select(*target.columns)), key)
 
 
 def upsert(

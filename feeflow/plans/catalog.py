@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import round_to, status_class, time_bucket
+from feeflow.functions.expressions import round_to, status_class_sql, time_bucket
 from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
@@ -46,6 +46,10 @@ from feeflow.sources.sinks import landing_json, typed_load
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Decimals to which averages, medians and ratios are compared with the oracle;
+# the library's tables hold them unrounded.
+DIGITS = 10
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -71,15 +75,15 @@ def _inter_shared(spark, sf):
 
 
 def _daily(spark, sf):
-    return mart_daily(_inter_shared(spark, sf))
+    return mart_daily(_inter_shared(spark, sf), DIGITS)
 
 
 def _hourly(spark, sf):
-    return mart_hourly(_inter(spark, sf))
+    return mart_hourly(_inter(spark, sf), DIGITS)
 
 
 def _minute(spark, sf):
-    return mart_minute(_inter(spark, sf))
+    return mart_minute(_inter(spark, sf), DIGITS)
 
 
 def _capture(spark, sf):
@@ -237,7 +241,7 @@ def q_count_distinct_by_hour(spark, sf):
 def q_median_by_day(spark, sf):
     keyed = _inter_shared(spark, sf).select(time_bucket("enqueued_time", "day").alias("mempool_date"), "median_fee")
     m = exact_quantiles(keyed, ["mempool_date"], "median_fee", [0.5], ["median_fee"])
-    return m.select("mempool_date", round_to("median_fee", 6).alias("median_fee"))
+    return m.select("mempool_date", round_to("median_fee", DIGITS).alias("median_fee"))
 
 
 @query
@@ -265,17 +269,17 @@ def q_alert_minute(spark, sf):
 
 @query
 def q_fee_percentiles(spark, sf):
-    return fee_percentiles(X.transactions_from_events(spark, sf), by="ts", grain="day")
+    return fee_percentiles(X.transactions_from_events(spark, sf), by="ts", grain="day", precision=DIGITS)
 
 
 @query
 def q_congestion_share(spark, sf):
-    return congestion_share(_inter(spark, sf))
+    return congestion_share(_inter(spark, sf), DIGITS)
 
 
 @query
 def q_exec_kpis(spark, sf):
-    return exec_kpis(_daily(spark, sf))
+    return exec_kpis(_daily(spark, sf), precision=DIGITS)
 
 
 @query
@@ -285,7 +289,7 @@ def q_daily_slice(spark, sf):
 
 @query
 def q_tx_velocity(spark, sf):
-    return tx_velocity(_inter(spark, sf), "hour")
+    return tx_velocity(_inter(spark, sf), "hour", DIGITS)
 
 
 # -- serving ---------------------------------------------------------------------------
@@ -348,7 +352,7 @@ def q_whale_points(spark, sf):
 @query
 def q_context(spark, sf):
     inter = _inter_shared(spark, sf)
-    return V.context_record(mart_hourly(inter), mart_minute(inter))
+    return V.context_record(mart_hourly(inter, DIGITS), mart_minute(inter, DIGITS))
 
 
 @query
@@ -378,7 +382,7 @@ def q_status_class(spark, sf):
             .unionByName(m.select(F.col("congestion_alert").alias("status")))
             .unionByName(d.select(F.col("daily_network_stress_alert").alias("status")))
             .unionByName(d.select(F.col("daily_fee_volatility_alert").alias("status"))))
-    return vals.distinct().select("status", status_class("status").alias("status_class"))
+    return vals.distinct().select("status", F.expr(status_class_sql("status")).alias("status_class"))
 
 
 @query

@@ -2,15 +2,87 @@
 
 Written independently of the Spark code from the model definitions and
 the fixture mapping; tables ``orders lineitem events`` are views.
-Conventions: integer sums cast to BIGINT, averages and medians rounded to
-6 decimals, times as TIMESTAMP (no zone).
+Conventions: integer sums cast to BIGINT; averages, medians and ratios
+compared at ``DIGITS`` decimals; times as TIMESTAMP (no zone).  The marts are
+generated from the output lists of the mart definitions; alert classes come
+from a relation of limits.
 """
 
 from __future__ import annotations
 
+from feeflow import schemas as S
+from feeflow.operators.marts import DAILY_AGGS, HOURLY_AGGS, MINUTE_AGGS
+from feeflow.plans.catalog import DIGITS
+
 P = ["fee_p10", "fee_p25", "fee_p50", "fee_p75", "fee_p90", "fee_p95", "fee_p99"]
 OK = "o.o_orderstatus <> 'P'"
 
+_LABELS = ", ".join(f"'{x}'" for x in (S.LOW, S.MODERATE, S.HIGH))
+
+# (alert, limit, whether the limit itself counts, label)
+ALERT_LIMITS = [
+    ("stress_day", S.DAILY_STRESS_HIGH_BLOCKS, False, S.DAILY_STRESS_ALERT),
+    ("volatile_day", S.DAILY_VOLATILITY_P99, False, S.DAILY_VOLATILITY_ALERT),
+    ("hour_fee", S.HOURLY_FEE_WARNING_FROM, True, S.HOURLY_FEE_WARNING),
+    ("hour_fee", S.HOURLY_FEE_CRITICAL_ABOVE, False, S.HOURLY_FEE_CRITICAL),
+    ("hour_skew", S.HOURLY_SKEW_ABOVE, False, S.HOURLY_SKEW_ALERT),
+    ("minute_spike", S.MINUTE_SPIKE_WARNING_ABOVE, False, S.MINUTE_SPIKE_WARNING),
+    ("minute_spike", S.MINUTE_SPIKE_CRITICAL_ABOVE, False, S.MINUTE_SPIKE_CRITICAL),
+    ("minute_whale", S.MINUTE_WHALE_ABOVE, False, S.MINUTE_WHALE_ALERT),
+    ("minute_load", S.MINUTE_CONGESTION_TX_ABOVE, False, S.MINUTE_CONGESTION_ALERT),
+]
+_LIMITS = ", ".join(f"('{a}', CAST({b} AS DOUBLE), {str(c).lower()}, '{x}')" for a, b, c, x in ALERT_LIMITS)
+
+# (column, alert, measured value, label below all limits) per mart
+DAILY_ALERTS = [
+    ("daily_network_stress_alert", "stress_day", "high_congestion_blocks", S.NORMAL),
+    ("daily_fee_volatility_alert", "volatile_day", "daily_max_p99_fee", S.STABLE),
+]
+HOURLY_ALERTS = [
+    ("hourly_fee_alert", "hour_fee", "raw_avg_median_fee", S.HEALTHY),
+    ("hourly_skewness_alert", "hour_skew", "max_fee_skewness", S.STABLE),
+]
+MINUTE_ALERTS = [
+    ("fee_spike_alert", "minute_spike", "peak_fee_p99", S.NORMAL),
+    ("fee_skewness_alert", "minute_whale", "max_fee_skewness_ratio", S.NORMAL),
+    ("congestion_alert", "minute_load", "total_transactions", S.NORMAL),
+]
+
+
+def exact_avg(c: str) -> str:
+    """Average from exact integer sums of whole part and 52 fraction bits."""
+    x, piece = f"CAST({c} AS DOUBLE)", 1 << 26
+    bits = f"({x} - floor({x})) * {piece}"
+    return (f"((CAST(sum(CAST(floor({x}) AS BIGINT)) AS DOUBLE)"
+            f" + CAST(sum(CAST(floor({bits}) AS BIGINT)) AS DOUBLE) / CAST({piece} AS DOUBLE)"
+            f" + CAST(sum(CAST(floor((({bits}) - floor({bits})) * {piece}) AS BIGINT)) AS DOUBLE)"
+            f" / CAST({piece ** 2} AS DOUBLE)) / count({c}))")
+
+
+_AGGREGATES = {
+    "sum": lambda c: f"CAST(sum({c}) AS BIGINT)",
+    "avg": lambda c: f"round({exact_avg(c)}, 6)",
+    "max": lambda c: f"max({c})",
+    "min": lambda c: f"min({c})",
+    "median": lambda c: f"round(median({c}), 6)",
+    "count_distinct": lambda c: f"count(DISTINCT {c})",
+    "count_status": lambda c: f"count(*) FILTER (WHERE network_congestion_status = '{c}')",
+}
+
+
+def _mart(name: str, unit: str, key: str, outputs: list, by_status: bool, alerts: list) -> str:
+    """One mart as two named steps: the aggregates, then the alert classes."""
+    status = "network_congestion_status, " if by_status else ""
+    columns = ", ".join(f"{_AGGREGATES[kind](c)} AS {out}" for out, kind, c in outputs)
+    classes = ", ".join(
+        f"coalesce((SELECT arg_max(label, bound) FROM limits WHERE alert = '{alert}'"
+        f" AND ({value} > bound OR (closed AND {value} = bound))), '{calm}') AS {out}"
+        for out, alert, value, calm in alerts)
+    return (f"{name}_sums AS (SELECT CAST(date_trunc('{unit}', enqueued_time) AS TIMESTAMP) AS {key}, {status}"
+            f"{columns}, {exact_avg('median_fee')} AS raw_avg_median_fee FROM inter GROUP BY ALL),\n"
+            f"{name} AS (SELECT * EXCLUDE (raw_avg_median_fee), {classes} FROM {name}_sums)")
+
+
 BASE = f"""
 li_sums AS (
   SELECT l_orderkey,
@@ -46,127 +118,35 @@ staging AS (
   FROM parsed
 ),
 dedup AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY mempool_id
-             ORDER BY enqueued_time DESC NULLS LAST, block_index ASC NULLS LAST, block_size ASC NULLS LAST,
-                      total_fees ASC NULLS LAST, median_fee ASC NULLS LAST) AS rn
-    FROM staging) WHERE rn = 1
+  SELECT DISTINCT ON (mempool_id) * FROM staging
+  ORDER BY mempool_id, enqueued_time DESC NULLS LAST, block_index NULLS LAST, block_size NULLS LAST,
+           total_fees NULLS LAST, median_fee NULLS LAST, block_vsize NULLS LAST,
+           number_of_transactions NULLS LAST, {", ".join(f"{c} NULLS LAST" for c in P)}
+),
+per_unit AS (
+  SELECT d.*, safe.bytes, safe.txs, safe.low
+  FROM dedup d, LATERAL (SELECT CASE WHEN d.block_size > 0 THEN CAST(d.block_size AS DOUBLE) END AS bytes,
+                                CASE WHEN d.number_of_transactions > 0
+                                     THEN CAST(d.number_of_transactions AS DOUBLE) END AS txs,
+                                CASE WHEN d.fee_p10 > 0 THEN d.fee_p10 END AS low) safe
 ),
 inter AS (
   SELECT mempool_id, sequence_number, enqueued_time, block_size, block_vsize, number_of_transactions,
          total_fees, median_fee, {", ".join(P)},
          fee_p99 - fee_p10 AS fee_spread_range,
          fee_p75 - fee_p25 AS interquartile_fee_range,
-         CASE WHEN fee_p10 > 0 THEN fee_p99 / fee_p10 END AS fee_skewness_ratio,
-         CASE WHEN block_size > 0 THEN CAST(block_vsize AS DOUBLE) / block_size ELSE 0.0 END AS block_compression_ratio,
-         CASE WHEN block_size > 0 THEN CAST(total_fees AS DOUBLE) / block_size ELSE 0.0 END AS miner_revenue_per_byte,
-         CASE WHEN number_of_transactions > 0 THEN CAST(total_fees AS DOUBLE) / number_of_transactions ELSE 0.0 END
-           AS avg_fee_per_tx,
-         CASE WHEN median_fee > 50 THEN 'High Congestion'
-              WHEN median_fee BETWEEN 20 AND 50 THEN 'Moderate Congestion'
-              ELSE 'Low Congestion' END AS network_congestion_status
-  FROM dedup
-),
-daily AS (
-  SELECT CAST(date_trunc('day', enqueued_time) AS TIMESTAMP) AS mempool_date,
-         count(DISTINCT sequence_number) AS total_blocks_processed,
-         CAST(sum(number_of_transactions) AS BIGINT) AS total_daily_transactions,
-         round(avg(number_of_transactions), 6) AS avg_tx_per_block,
-         max(number_of_transactions) AS max_tx_in_single_block,
-         CAST(sum(block_size) AS BIGINT) AS total_daily_bytes,
-         round(avg(block_size), 6) AS avg_daily_block_size,
-         CAST(sum(block_vsize) AS BIGINT) AS total_daily_vbytes,
-         CAST(sum(total_fees) AS BIGINT) AS daily_total_miner_revenue,
-         round(avg(total_fees), 6) AS daily_avg_block_fees,
-         max(total_fees) AS max_single_block_fee,
-         round(avg(median_fee), 6) AS daily_avg_median_fee,
-         round(median(median_fee), 6) AS daily_overall_median_fee,
-         min(fee_p10) AS daily_min_p10_fee,
-         max(fee_p99) AS daily_max_p99_fee,
-         round(avg(fee_spread_range), 6) AS daily_avg_fee_spread,
-         round(avg(fee_skewness_ratio), 6) AS daily_avg_fee_skewness,
-         round(avg(block_compression_ratio), 6) AS daily_avg_compression_ratio,
-         round(avg(miner_revenue_per_byte), 6) AS daily_avg_revenue_per_byte,
-         round(avg(avg_fee_per_tx), 6) AS daily_avg_fee_per_tx,
-         count(CASE WHEN network_congestion_status = 'High Congestion' THEN 1 END) AS high_congestion_blocks,
-         count(CASE WHEN network_congestion_status = 'Moderate Congestion' THEN 1 END) AS moderate_congestion_blocks,
-         count(CASE WHEN network_congestion_status = 'Low Congestion' THEN 1 END) AS low_congestion_blocks,
-         CASE WHEN count(CASE WHEN network_congestion_status = 'High Congestion' THEN 1 END) > 20
-              THEN 'ALERT: Network Stress Day' ELSE 'NORMAL' END AS daily_network_stress_alert,
-         CASE WHEN max(fee_p99) > 300 THEN 'ALERT: Severe Fee Volatility Day' ELSE 'STABLE' END
-           AS daily_fee_volatility_alert
-  FROM inter GROUP BY 1
-),
-hourly AS (
-  SELECT CAST(date_trunc('hour', enqueued_time) AS TIMESTAMP) AS time_hour,
-         network_congestion_status,
-         count(DISTINCT sequence_number) AS total_blocks,
-         CAST(sum(number_of_transactions) AS BIGINT) AS total_transactions,
-         round(avg(number_of_transactions), 6) AS avg_transactions_per_block,
-         max(number_of_transactions) AS max_transactions_in_block,
-         CAST(sum(block_size) AS BIGINT) AS total_block_size,
-         round(avg(block_size), 6) AS avg_block_size,
-         CAST(sum(block_vsize) AS BIGINT) AS total_block_vsize,
-         round(avg(block_vsize), 6) AS avg_block_vsize,
-         CAST(sum(total_fees) AS BIGINT) AS total_fees_collected,
-         round(avg(total_fees), 6) AS avg_fees_per_block,
-         max(total_fees) AS peak_block_fee,
-         round(avg(median_fee), 6) AS avg_median_fee,
-         max(median_fee) AS max_median_fee,
-         {", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in P)},
-         max(fee_p99) AS max_fee_p99_hourly,
-         round(avg(fee_spread_range), 6) AS avg_fee_spread,
-         max(fee_spread_range) AS max_fee_spread,
-         round(avg(interquartile_fee_range), 6) AS avg_iqr_fee,
-         round(avg(fee_skewness_ratio), 6) AS avg_fee_skewness,
-         max(fee_skewness_ratio) AS max_fee_skewness,
-         round(avg(block_compression_ratio), 6) AS avg_block_compression,
-         round(avg(miner_revenue_per_byte), 6) AS avg_miner_revenue_per_byte,
-         round(avg(avg_fee_per_tx), 6) AS avg_fee_per_tx,
-         max(avg_fee_per_tx) AS max_fee_per_tx,
-         CASE WHEN avg(median_fee) > 50 THEN 'CRITICAL: Hourly Network Congestion'
-              WHEN avg(median_fee) BETWEEN 20 AND 50 THEN 'WARNING: Elevated Fees'
-              ELSE 'HEALTHY' END AS hourly_fee_alert,
-         CASE WHEN max(fee_skewness_ratio) > 35 THEN 'ALERT: Extreme Fee Distortion' ELSE 'STABLE' END
-           AS hourly_skewness_alert
-  FROM inter GROUP BY 1, 2
-),
-minute AS (
-  SELECT CAST(date_trunc('minute', enqueued_time) AS TIMESTAMP) AS time_minute,
-         network_congestion_status,
-         count(DISTINCT sequence_number) AS total_blocks,
-         CAST(sum(number_of_transactions) AS BIGINT) AS total_transactions,
-         round(avg(number_of_transactions), 6) AS avg_transactions_per_block,
-         max(number_of_transactions) AS max_transactions_in_block,
-         CAST(sum(block_size) AS BIGINT) AS total_block_bytes,
-         round(avg(block_size), 6) AS avg_block_size,
-         CAST(sum(block_vsize) AS BIGINT) AS total_block_vsize,
-         round(avg(block_vsize), 6) AS avg_block_vsize,
-         CAST(sum(total_fees) AS BIGINT) AS total_fees,
-         round(avg(total_fees), 6) AS avg_block_fees,
-         max(total_fees) AS max_block_fees,
-         round(avg(median_fee), 6) AS avg_median_fee,
-         max(median_fee) AS max_median_fee,
-         {", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in P)},
-         max(fee_p99) AS peak_fee_p99,
-         round(avg(fee_spread_range), 6) AS avg_fee_spread_range,
-         max(fee_spread_range) AS max_fee_spread_range,
-         round(avg(interquartile_fee_range), 6) AS avg_interquartile_fee_range,
-         round(avg(fee_skewness_ratio), 6) AS avg_fee_skewness_ratio,
-         max(fee_skewness_ratio) AS max_fee_skewness_ratio,
-         round(avg(block_compression_ratio), 6) AS avg_block_compression_ratio,
-         round(avg(miner_revenue_per_byte), 6) AS avg_miner_revenue_per_byte,
-         round(avg(avg_fee_per_tx), 6) AS avg_fee_per_tx,
-         max(avg_fee_per_tx) AS max_fee_per_tx,
-         CASE WHEN max(fee_p99) > 100 THEN 'CRITICAL: High Fee Spike'
-              WHEN max(fee_p99) > 50 THEN 'WARNING: Moderate Fee Spike'
-              ELSE 'NORMAL' END AS fee_spike_alert,
-         CASE WHEN max(fee_skewness_ratio) > 100 THEN 'ALERT: Whale Fee Outlier' ELSE 'NORMAL' END
-           AS fee_skewness_alert,
-         CASE WHEN sum(number_of_transactions) > 150000 THEN 'ALERT: High Mempool Congestion' ELSE 'NORMAL' END
-           AS congestion_alert
-  FROM inter GROUP BY 1, 2
+         fee_p99 / low AS fee_skewness_ratio,
+         coalesce(block_vsize / bytes, 0.0) AS block_compression_ratio,
+         coalesce(total_fees / bytes, 0.0) AS miner_revenue_per_byte,
+         coalesce(total_fees / txs, 0.0) AS avg_fee_per_tx,
+         [{_LABELS}][1 + (coalesce(median_fee, 0) >= {S.CONGESTION_MODERATE_FROM})::INT
+                       + (coalesce(median_fee, 0) > {S.CONGESTION_HIGH_ABOVE})::INT] AS network_congestion_status
+  FROM per_unit
 ),
+limits(alert, bound, closed, label) AS (VALUES {_LIMITS}),
+{_mart("daily", "day", "mempool_date", DAILY_AGGS, False, DAILY_ALERTS)},
+{_mart("hourly", "hour", "time_hour", HOURLY_AGGS, True, HOURLY_ALERTS)},
+{_mart("minute", "minute", "time_minute", MINUTE_AGGS, True, MINUTE_ALERTS)},
 messages AS (
   SELECT sequence_number, enqueued_time,
          count(median_fee) AS n_ok,
@@ -203,20 +183,19 @@ tx AS (
 """
 
 
-def round6(expr: str, digits: int = 6) -> str:
-    """Half-away-from-zero rounding with plain IEEE steps (same formula as
-    the Spark side), so equal inputs round to equal doubles in both engines."""
+def rounded(expr: str) -> str:
+    """Rounding to ``DIGITS`` decimals with plain IEEE steps."""
     x = f"CAST({expr} AS DOUBLE)"
 
     def step(v, d):
         scale = f"CAST({10 ** d} AS DOUBLE)"
-        return f"(sign({v}) * floor(abs({v}) * {scale} + CAST(0.5 AS DOUBLE)) / {scale})"
+        return f"(round_even({v} * {scale}, 0) / {scale})"
 
-    return f"(CASE WHEN abs({x}) < CAST(1e9 AS DOUBLE) THEN {step(step(x, digits + 3), digits)} ELSE {x} END)"
+    return step(step(x, DIGITS + 3), DIGITS)
 
 
 def _expand_round(sql: str) -> str:
-    """Rewrite every ``round(<expr>, 6)`` into :func:`round6`."""
+    """Rewrite every ``round(<expr>, 6)`` into :func:`rounded`."""
     out, i, key = [], 0, "round("
     while True:
         j = sql.find(key, i)
@@ -236,7 +215,7 @@ def _expand_round(sql: str) -> str:
         if digits.strip() != "6":
             out.append(sql[i:k])
         else:
-            out.append(sql[i:j] + round6(_expand_round(arg.strip())))
+            out.append(sql[i:j] + rounded(_expand_round(arg.strip())))
         i = k
 
 
@@ -263,7 +242,7 @@ SELECT time_hour, network_congestion_status AS congestion_status, hourly_fee_ale
        CAST({_nz('total_transactions')} AS BIGINT) AS total_transactions,
        CAST({_nz('total_blocks', default='1')} AS BIGINT) AS total_blocks,
        CAST(CASE WHEN {_nz('avg_transactions_per_block')} = 0 AND {_nz('total_blocks', default='1')} > 0
-                 THEN round({_nz('total_transactions')} / {_nz('total_blocks', default='1')}, 6)
+                 THEN {_nz('total_transactions')} / {_nz('total_blocks', default='1')}
                  ELSE {_nz('avg_transactions_per_block')} END AS DOUBLE) AS avg_tx_per_block,
        CAST(CASE WHEN {_nz('max_transactions_in_block')} = 0 THEN {_nz('total_transactions')}
                  ELSE {_nz('max_transactions_in_block')} END AS BIGINT) AS max_tx_per_block,
@@ -389,8 +368,8 @@ ORACLE = {
     "q_exec_kpis": q(
         "SELECT count(*) AS n_days, CAST(sum(total_daily_transactions) AS BIGINT) AS total_transactions, "
         "CAST(sum(daily_total_miner_revenue) AS BIGINT) AS total_revenue, "
-        "round(avg(avg_daily_block_size), 6) AS avg_block_size, "
-        "round(avg(daily_overall_median_fee), 6) AS avg_median_fee FROM daily"
+        f"round({exact_avg('avg_daily_block_size')}, 6) AS avg_block_size, "
+        f"round({exact_avg('daily_overall_median_fee')}, 6) AS avg_median_fee FROM daily"
     ),
     "q_daily_slice": q(
         "SELECT * FROM daily WHERE mempool_date IN "

@@ -91,7 +91,7 @@ def stream_intermediate(capture: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def stream_mart(inter: DataFrame, grain: str = "minute", delay: str | None = None,
-                precision: int | None = 6) -> DataFrame:
+                precision: int | None = None) -> DataFrame:
     """Tumbling-window mart over a stream of intermediate rows.
 
     ``delay`` sets the watermark when the input has none yet (the output of

@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 from feeflow import schemas as S
 from feeflow.functions.expressions import (
     congestion_status,
-    first_nonzero,
+    exact_avg_sql,
+    first_nonzero_sql,
     parse_event_time,
     round_to,
-    status_class,
+    status_class_sql,
     surrogate_key,
 )
 from feeflow.operators import parse as P
@@ -207,21 +208,40 @@ def test_high_water_mark(spark):
 
 def test_first_nonzero_and_status_class(spark):
     df = spark.createDataFrame([(0.0, None, 5.0), (0.0, 0.0, None)], "a double, b double, c double")
-    got = [r[0] for r in df.select(first_nonzero("a", "b", "c", default=1.0)).collect()]
+    got = [r[0] for r in df.selectExpr(first_nonzero_sql("a", "b", "c", default="1.0D")).collect()]
     assert got == [5.0, 1.0]
     st = spark.createDataFrame([("NORMAL",), ("healthy",), ("Low Congestion",), ("STABLE",), (None,)], "s string")
-    assert [r[0] for r in st.select(status_class("s")).collect()] == ["normal", "normal", "normal", "alert", "alert"]
+    assert [r[0] for r in st.selectExpr(status_class_sql("s")).collect()] == ["normal", "normal", "normal", "alert", "alert"]
 
 
 def test_round_to_ties_and_noise(spark):
-    df = spark.createDataFrame([(145.2428045,), (145.24280449999998,), (-5e-7,), (1e13 + 0.123,), (None,), (-2.5e-7,)],
-                               "x double")
+    df = spark.createDataFrame([(145.2428045,), (145.24280449999998,), (-5e-7,), (1e13 + 0.123,), (None,), (-2.5e-7,),
+                                (1000000000.1234567,)], "x double")
     got = [r[0] for r in df.select(round_to("x", 6)).collect()]
     assert got[0] == got[1] == 145.242805
     assert got[2] == -1e-6
     assert got[3] == 1e13 + 0.123
     assert got[4] is None
     assert got[5] == 0.0
+    assert got[6] == 1000000000.123457  # the same rule at every magnitude
+
+
+def test_exact_average_ignores_order_and_keeps_digits(spark):
+    import math
+    import random
+
+    random.seed(4)
+    xs = [random.choice([1, -1]) * random.random() * 10 ** random.randint(-6, 11) for _ in range(5000)]
+    rows = [("a", x) for x in xs] + [("b", None), ("c", 0.9501632702), ("d", 1e300), ("d", 3e300), ("e", float("inf")),
+            ("f", 1234567890.125), ("f", 1234567890.875)]
+    got = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k string, x double").repartition(7 if order is rows else 3)
+        got.append({r[0]: r[1] for r in df.groupBy("k").agg(F.expr(exact_avg_sql("x"))).collect()})
+    assert got[0] == got[1]
+    assert math.isclose(got[0]["a"], math.fsum(xs) / len(xs), rel_tol=1e-14)
+    assert got[0]["b"] is None and got[0]["c"] == 0.9501632702 and got[0]["d"] == 2e300
+    assert got[0]["e"] == float("inf") and got[0]["f"] == 1234567890.5
 
 
 def test_latest_per_key_with_a_hot_key(spark):
