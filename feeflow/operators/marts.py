@@ -13,6 +13,8 @@ conditions compare the same averages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,9 +213,12 @@ def _mart(
 
 def mart_daily(int_df: DataFrame, precision: int | None = None, distinct: str = "exact",
                median: str = "distributed", time_col: str = "enqueued_time") -> DataFrame:
-    """Daily mart (25 columns): one row per day."""
+    """Daily mart (25 columns): one row per day.  ``median="none"`` leaves its
+    column out, for readers that do not use it: the median is the one output
+    that needs more than a single aggregate."""
+    spec = [x for x in DAILY_AGGS if median != "none" or x[1] != "median"]
     return _mart(int_df, [time_bucket(time_col, "day").alias("mempool_date")], ["mempool_date"],
-                 DAILY_AGGS, daily_alerts(), precision, distinct, median)
+                 spec, daily_alerts(), precision, distinct, median)
 
 
 def mart_hourly(int_df: DataFrame, precision: int | None = None, distinct: str = "exact",
@@ -281,6 +286,14 @@ def daily_slice(daily: DataFrame, dates: list | None = None, start=None, end=Non
     return daily.where(cond)
 
 
+def rows_of_days(rows: DataFrame, days: list, time_col: str = "enqueued_time") -> DataFrame:
+    """The rows of the given days, as time ranges that a scan can prune by."""
+    day = [F.lit(d).cast("timestamp_ntz") for d in days]
+    c = F.col(time_col)
+    return rows.where(reduce(lambda a, b: a | b, [
+        (c >= d) & (c < d + F.expr("INTERVAL 1 DAY")) for d in day]))
+
+
 GRAIN_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
 
 

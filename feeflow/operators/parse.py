@@ -99,13 +99,17 @@ def parse_messages(df: DataFrame, mode: str = "compat") -> DataFrame:
 def route_frames(df: DataFrame, frame: str = "frame", time_col: str = "enqueued_time") -> DataFrame:
     """One frame -> 0..n typed events, one per present key, each independent.
 
+    A key counts as present also when its value is JSON null (``data`` is then
+    the text ``null``); a frame that is not a JSON object gives no event.
     Output: the input's other columns plus ``payload_type``, ``timestamp``
     (epoch seconds of ``time_col``) and ``data`` (JSON text of the branch).
     ``explode`` of a compacted array keeps it a single narrow projection.
     """
     parsed = F.from_json(F.col(frame), S.FRAME)
+    present = F.json_object_keys(F.col(frame))
     branches = [
-        F.when(parsed[key].isNotNull(), F.struct(F.lit(ptype).alias("payload_type"), parsed[key].alias("data")))
+        F.when(F.array_contains(present, key),
+               F.struct(F.lit(ptype).alias("payload_type"), F.coalesce(parsed[key], F.lit("null")).alias("data")))
         for key, ptype in S.FRAME_ROUTES
     ]
     keep = [c for c in df.columns if c != frame]
@@ -139,6 +143,24 @@ def explode_transactions(df: DataFrame, frame: str = "frame") -> DataFrame:
     )
 
 
+def payload_fields(df: DataFrame, text: str = "body_str") -> DataFrame:
+    """Field inventory over all bodies: payload type, field, JSON type (array,
+    object, string, number, boolean or null) and the number of messages."""
+    if text not in df.columns:
+        df = decode_body(df)
+    body = F.col(text)
+    fields = df.where(F.try_parse_json(body).isNotNull()).select(
+        F.get_json_object(body, "$.payload_type").alias("payload_type"), body.alias("_body"),
+        F.explode(F.json_object_keys(body)).alias("field"))
+    kind = F.schema_of_variant(F.try_variant_get(
+        F.parse_json("_body"), F.concat(F.lit("$['"), F.col("field"), F.lit("']")), "variant"))
+    word = F.regexp_extract(F.coalesce(kind, F.lit("VOID")), "^[A-Z]+", 0)
+    json_type = (F.when(word.isin("ARRAY", "OBJECT", "STRING", "BOOLEAN"), F.lower(word))
+                 .when(word == "VOID", "null").otherwise("number"))
+    return fields.select("payload_type", "field", json_type.alias("json_type")) \
+        .groupBy("payload_type", "field", "json_type").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
 def infer_payload_schema(df: DataFrame, text: str = "body_str") -> DataFrame:
     """Schema discovery over *all* bodies per payload type (not one sample).
 

@@ -41,20 +41,22 @@ def table_high_water_mark(spark: SparkSession, path: str, col: str = "enqueued_t
                           partition_col: str = "event_date"):
     """High-water mark of a day-partitioned table, reading one partition.
 
-    The newest day comes from the file listing (no data read); only that
-    partition's ``col`` is scanned for the maximum.  None for a missing or
-    empty table (full load).
+    The newest day is the greatest partition folder's name: one listing of the
+    table's root, of as many names as days, whatever the number of files.
+    Only that partition's ``col`` is scanned for the maximum.  None for a
+    missing or empty table (full load).
     """
-    import re
-
+    from feeflow.session import file_system
     from feeflow.sources.sinks import table_exists
 
     if not table_exists(spark, path):
         return None
     df = spark.read.parquet(path)
-    pat = re.compile(rf"/{re.escape(partition_col)}=([^/]+)/")
+    fs, root = file_system(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
     null_dir = "__HIVE_DEFAULT_PARTITION__"  # rows without a time: never the newest day
-    days = sorted({m.group(1) for f in df.inputFiles() for m in [pat.search(f)] if m and m.group(1) != null_dir})
+    days = sorted(n.split("=", 1)[1] for n in names
+                  if n.startswith(f"{partition_col}=") and not n.endswith(null_dir))
     if not days:
         return high_water_mark(spark, df, col)
     newest = df.where(F.col(partition_col) == F.lit(days[-1]).cast(df.schema[partition_col].dataType))

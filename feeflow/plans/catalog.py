@@ -28,6 +28,7 @@ from feeflow.operators.marts import (
     mart_daily,
     mart_hourly,
     mart_minute,
+    rows_of_days,
     tx_velocity,
 )
 from feeflow.operators.quantiles import exact_quantiles
@@ -40,8 +41,9 @@ from feeflow.operators.staging import (
     stage,
 )
 from feeflow.sources import fixtures as X
-from feeflow.session import materialize_shared
-from feeflow.sources.sinks import landing_json, typed_load
+from feeflow.plans.jobs import ingest
+from feeflow.session import materialize_shared, scratch_path
+from feeflow.sources.sinks import landing_json, load_mart, load_parsed, typed_load, write_parsed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +80,11 @@ def _daily(spark, sf):
     return mart_daily(_inter_shared(spark, sf), DIGITS)
 
 
+def _daily_sums(spark, sf):
+    """The daily mart without its median: one pass, nothing stored."""
+    return mart_daily(_inter(spark, sf), DIGITS, median="none")
+
+
 def _hourly(spark, sf):
     return mart_hourly(_inter(spark, sf), DIGITS)
 
@@ -214,7 +221,12 @@ def q_time_parse(spark, sf):
 @query
 def q_event_routing(spark, sf):
     frames = X.frames_from_parsed(X.landed_parsed(spark, sf))
-    return P.route_frames(frames).select("sequence_number", "enqueued_time", "payload_type", "timestamp")
+    routed = P.route_frames(frames)
+    data = F.col("data")
+    first = F.coalesce(F.get_json_object(data, "$[0].blockSize"), F.get_json_object(data, "$.blockSize"))
+    return routed.select("sequence_number", "enqueued_time", "payload_type", "timestamp",
+                         F.json_array_length(data).alias("n_items"), first.cast("bigint").alias("block_size"),
+                         F.get_json_object(data, "$.mempoolSize").cast("bigint").alias("mempool_size"))
 
 
 @query
@@ -229,6 +241,56 @@ def q_schema_discovery(spark, sf):
         "payload_type", "n_messages", F.col("schema").cast("string").alias("schema"))
 
 
+@query
+def q_schema_fields(spark, sf):
+    return P.payload_fields(_capture(spark, sf))
+
+
+# -- storage -----------------------------------------------------------------------------
+
+@query
+def q_parsed_roundtrip(spark, sf):
+    """The parsed table with its times as text, through Parquet and back."""
+    path = scratch_path(spark, "roundtrip")
+    text = F.date_format("enqueued_time", S.CAPTURE_TIME_FORMAT)
+    X.landed_parsed(spark, sf).withColumn("enqueued_time", text).write.parquet(path)
+    return load_parsed(spark, path)
+
+
+@query
+def q_overwrite_shrink(spark, sf):
+    """A second, smaller overwrite leaves nothing of the first."""
+    path, parsed = scratch_path(spark, "shrink"), X.landed_parsed(spark, sf)
+    write_parsed(parsed, path)
+    write_parsed(rows_of_days(parsed, ["2026-09-18 00:00:00"]), path)
+    return load_parsed(spark, path)
+
+
+@query
+def q_quarantine(spark, sf):
+    """Bodies that are not JSON, after two runs of the ingest."""
+    root = scratch_path(spark, "quarantine")
+    cap = _capture(spark, sf)
+    broken = F.when(F.col("SequenceNumber") % 10 == 0, F.lit("{broken").cast("binary")).otherwise(F.col("Body"))
+    cap.withColumn("Body", broken).write.parquet(f"{root}/capture")
+    for _ in range(2):
+        ingest(spark, f"{root}/capture", f"{root}/parsed", f"{root}/bad")
+    return spark.read.parquet(f"{root}/bad").select(
+        F.col("SequenceNumber").alias("sequence_number"), "body_str")
+
+
+@query
+def q_snapshot(spark, sf):
+    """The last good snapshot, served while the live table fails at run time."""
+    path = scratch_path(spark, "snapshot")
+    _hourly(spark, sf).createOrReplaceTempView("fct_hours_live")
+    load_mart(spark, "fct_hours_live", path, "time_hour")
+    spark.table("fct_hours_live").withColumn(
+        "time_hour", F.raise_error(F.lit("live table down")).cast("timestamp_ntz")
+    ).createOrReplaceTempView("fct_hours_down")
+    return load_mart(spark, "fct_hours_down", path, "time_hour", reuse_seconds=0)[0]
+
+
 # -- aggregates ------------------------------------------------------------------------
 
 @query
@@ -246,13 +308,13 @@ def q_median_by_day(spark, sf):
 
 @query
 def q_conditional_count(spark, sf):
-    return _daily(spark, sf).select("mempool_date", "high_congestion_blocks", "moderate_congestion_blocks",
+    return _daily_sums(spark, sf).select("mempool_date", "high_congestion_blocks", "moderate_congestion_blocks",
                                     "low_congestion_blocks")
 
 
 @query
 def q_alert_daily(spark, sf):
-    return _daily(spark, sf).select("mempool_date", "daily_network_stress_alert", "daily_fee_volatility_alert")
+    return _daily_sums(spark, sf).select("mempool_date", "daily_network_stress_alert", "daily_fee_volatility_alert")
 
 
 @query
@@ -284,7 +346,12 @@ def q_exec_kpis(spark, sf):
 
 @query
 def q_daily_slice(spark, sf):
-    return daily_slice(_daily(spark, sf), ["2026-09-18 00:00:00", "2026-09-20 00:00:00", "2026-09-24 00:00:00"])
+    days = ["2026-09-18 00:00:00", "2026-09-20 00:00:00", "2026-09-24 00:00:00"]
+    # the key holds the time, so a day's rows are deduplicated within the day:
+    # the scan itself reads only those days
+    rows = rows_of_days(X.landed_parsed(spark, sf), days)
+    inter = materialize_shared(intermediate(stage(rows)), "intermediate")
+    return daily_slice(mart_daily(inter, DIGITS), days)
 
 
 @query
@@ -357,7 +424,7 @@ def q_context(spark, sf):
 
 @query
 def q_daily_fee_spread(spark, sf):
-    return V.daily_fee_spread(_daily(spark, sf))
+    return V.daily_fee_spread(_daily_sums(spark, sf))
 
 
 @query
@@ -367,13 +434,13 @@ def q_daily_revenue(spark, sf):
 
 @query
 def q_daily_efficiency(spark, sf):
-    return V.daily_efficiency(_daily(spark, sf))
+    return V.daily_efficiency(_daily_sums(spark, sf))
 
 
 @query
 def q_status_class(spark, sf):
     inter = _inter_shared(spark, sf)
-    h, m, d = mart_hourly(inter), mart_minute(inter), mart_daily(inter)
+    h, m, d = mart_hourly(inter), mart_minute(inter), mart_daily(inter, median="none")
     vals = (h.select(F.col("network_congestion_status").alias("status"))
             .unionByName(h.select(F.col("hourly_fee_alert").alias("status")))
             .unionByName(h.select(F.col("hourly_skewness_alert").alias("status")))

@@ -17,6 +17,7 @@ Usage: python -m feeflow.plans.jobs {ingest,models,snapshot} ...
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -40,25 +41,34 @@ class ModelOutputs:
 
 def ingest(spark: SparkSession, capture_path: str, parsed_path: str, quarantine_path: str,
            fmt: str = "parquet", mode: str = "compat") -> DataFrame:
-    """Capture -> parsed table; unreadable bodies go to the quarantine table."""
+    """Capture -> parsed table; unreadable bodies go to the quarantine table.
+    Both are replaced, so a replay changes neither."""
     cap = P.decode_body(K.read_capture(spark, capture_path, fmt))
     good, bad = P.split_corrupt(cap)
-    bad.write.mode("append").parquet(quarantine_path)
+    bad.write.mode("overwrite").parquet(quarantine_path)
     K.write_parsed(P.parse_messages(good, mode), parsed_path)
-    return spark.read.parquet(parsed_path)
+    return K.load_parsed(spark, parsed_path)
 
 
 def models(spark: SparkSession, parsed_path: str, staging_path: str, marts_root: str,
            lookback_seconds: int = 3600) -> ModelOutputs:
     """Incremental model run: only rows newer than the staging table's mark
-    (minus a look-back the keyed upsert absorbs) are staged and merged; the
-    marts are rebuilt from the whole staging table, as full-refresh tables."""
-    parsed = K.load_parsed(spark, parsed_path)
+    (minus a look-back the keyed upsert absorbs) are staged and merged; only
+    their day partitions are opened.  The marts are rebuilt from the whole
+    staging table, as full-refresh tables.  The declared tests run first: a
+    failure raises, and the marts of the last good run stay.  Rows older than
+    the look-back that never reached staging are found by :func:`late_rows`."""
     mark = table_high_water_mark(spark, staging_path)
+    since = mark - dt.timedelta(seconds=lookback_seconds) if mark else None
+    parsed = K.load_parsed(spark, parsed_path, since=since)
     new_rows = incremental_slice(parsed, None, mark=mark, lookback_seconds=lookback_seconds if mark else 0)
     touched = upsert(spark, staging_path, stage(new_rows))
     staged = spark.read.parquet(staging_path).drop("event_date")
     run = run_models(staged)
+    failed = [r for r in run_declared_tests(run.intermediate).collect() if r.failures]
+    if failed:
+        raise ValueError("declared tests failed, marts not replaced: " + ", ".join(
+            f"{r.test}({r.column_name})={r.failures}" for r in failed))
     daily = K.materialize(run.daily, os.path.join(marts_root, "fct_daily"), cluster_by=["mempool_date"])
     hourly = K.materialize(run.hourly, os.path.join(marts_root, "fct_hours"),
                            cluster_by=["time_hour", "network_congestion_status"])
@@ -66,6 +76,13 @@ def models(spark: SparkSession, parsed_path: str, staging_path: str, marts_root:
     return ModelOutputs(daily, hourly, minute, run_declared_tests(run.intermediate), touched)
 
 
+def late_rows(spark: SparkSession, parsed_path: str, staging_path: str) -> DataFrame:
+    """Parsed rows whose key staging does not hold: they came in behind the
+    look-back (or have no time).  Land or count them; a full load takes them."""
+    staged = spark.read.parquet(staging_path).select("mempool_id")
+    return stage(K.load_parsed(spark, parsed_path)).join(staged, "mempool_id", "left_anti")
+
+
 def snapshot(spark: SparkSession, marts_root: str, out_root: str, n: int = 500) -> None:
     for name, time_col in (("fct_hours", "time_hour"), ("fct_minutes", "time_minute")):
         K.export_snapshot(spark.read.parquet(os.path.join(marts_root, name)),
@@ -73,7 +90,7 @@ def snapshot(spark: SparkSession, marts_root: str, out_root: str, n: int = 500)
 
 
 def main(argv: list[str] | None = None) -> None:
-    from feeflow.session import get_spark
+    from feeflow.session import drop_scratch, get_spark
 
     ap = argparse.ArgumentParser(prog="feeflow.plans.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -92,14 +109,18 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("out")
     args = ap.parse_args(argv)
     spark = get_spark()
-    if args.job == "ingest":
-        ingest(spark, args.capture, args.parsed, args.quarantine, args.format)
-    elif args.job == "models":
-        out = models(spark, args.parsed, args.staging, args.marts, args.lookback_seconds)
-        for r in out.tests.collect():
-            print(f"{r.test:16s} {r.column_name:28s} failures={r.failures}")
-    else:
-        snapshot(spark, args.marts, args.out)
+    try:
+        if args.job == "ingest":
+            ingest(spark, args.capture, args.parsed, args.quarantine, args.format)
+        elif args.job == "models":
+            out = models(spark, args.parsed, args.staging, args.marts, args.lookback_seconds)
+            for r in out.tests.collect():
+                print(f"{r.test:16s} {r.column_name:28s} failures={r.failures}")
+            print(f"late rows: {late_rows(spark, args.parsed, args.staging).count()}")
+        else:
+            snapshot(spark, args.marts, args.out)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

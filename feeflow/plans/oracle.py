@@ -102,7 +102,7 @@ parsed AS (
          CASE WHEN {OK} THEN CAST(s.li_bytes AS BIGINT) END AS block_size,
          CASE WHEN {OK} THEN CAST(s.li_bytes * (50 + o.o_orderkey % 50) // 100 AS BIGINT) END AS block_vsize,
          CASE WHEN {OK} THEN o.o_totalprice / 7000 END AS median_fee,
-         CASE WHEN {OK} THEN CAST(s.li_qty * 1000 AS INTEGER) END AS n_tx,
+         CASE WHEN {OK} THEN TRY_CAST(s.li_qty * 1000 AS INTEGER) END AS n_tx,
          CASE WHEN {OK} THEN CAST(round(o.o_totalprice * 100) AS BIGINT) END AS total_fees,
          {", ".join(f"CASE WHEN {OK} THEN f.fr[{i + 1}] END AS {c}" for i, c in enumerate(P))}
   FROM orders o
@@ -317,12 +317,32 @@ ORACLE = {
         "enqueued_time FROM messages"
     ),
     "q_event_routing": q(
-        "SELECT sequence_number, enqueued_time, 'block_event' AS payload_type, "
-        "CAST(epoch(enqueued_time) AS BIGINT) AS timestamp FROM messages WHERE n_ok > 0 AND sequence_number % 3 = 0 "
-        "UNION ALL SELECT sequence_number, enqueued_time, 'mempool_blocks_event', "
-        "CAST(epoch(enqueued_time) AS BIGINT) FROM messages WHERE n_ok > 0 "
-        "UNION ALL SELECT sequence_number, enqueued_time, 'stats_event', "
-        "CAST(epoch(enqueued_time) AS BIGINT) FROM messages WHERE n_ok = 0"
+        "SELECT m.sequence_number, m.enqueued_time, e.payload_type, "
+        "CAST(epoch(m.enqueued_time) AS BIGINT) AS timestamp, "
+        "CASE WHEN e.payload_type = 'mempool_blocks_event' THEN CAST(m.n_ok AS INTEGER) END AS n_items, "
+        "f.block_size, CASE WHEN e.payload_type = 'stats_event' THEN m.n_rows END AS mempool_size "
+        "FROM messages m JOIN (VALUES ('block_event'), ('mempool_blocks_event'), ('stats_event')) e(payload_type) "
+        "ON CASE e.payload_type WHEN 'stats_event' THEN m.n_ok = 0 "
+        "WHEN 'block_event' THEN m.n_ok > 0 AND m.sequence_number % 3 = 0 ELSE m.n_ok > 0 END "
+        "LEFT JOIN msg_rows f ON f.pos = 0 AND f.sequence_number = m.sequence_number "
+        "AND f.enqueued_time = m.enqueued_time"
+    ),
+    "q_schema_fields": q(
+        "SELECT CASE WHEN n_ok > 0 THEN 'mempool_blocks_event' ELSE 'stats_event' END AS payload_type, "
+        "f.field, CASE f.field WHEN 'payload_type' THEN 'string' WHEN 'timestamp' THEN 'number' "
+        "ELSE CASE WHEN n_ok > 0 THEN 'array' ELSE 'object' END END AS json_type, count(*) AS n_messages "
+        "FROM messages, (VALUES ('payload_type'), ('timestamp'), ('data')) f(field) GROUP BY ALL"
+    ),
+    "q_parsed_roundtrip": q("SELECT * FROM parsed"),
+    "q_overwrite_shrink": q(
+        "SELECT * FROM parsed WHERE enqueued_time >= TIMESTAMP '2026-09-18 00:00:00' "
+        "AND enqueued_time < TIMESTAMP '2026-09-19 00:00:00'"
+    ),
+    "q_quarantine": q(
+        "SELECT sequence_number, '{broken' AS body_str FROM messages WHERE sequence_number % 10 = 0"
+    ),
+    "q_snapshot": q(
+        "SELECT * FROM hourly ORDER BY time_hour DESC NULLS LAST, network_congestion_status ASC NULLS LAST LIMIT 500"
     ),
     "q_tx_fanout": q("SELECT 'mempool_tx' AS payload_type, txid, fee, vsize, value, rate FROM tx"),
     "q_high_watermark": q(

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock for the zone-less capture
-# times, AQE for runtime coalescing / skew splitting / join demotion, and
-# dynamic partition overwrite so an upsert rewrites only touched days.
+# times and AQE for runtime coalescing / skew splitting / join demotion.  An
+# overwrite replaces the whole table; only the upsert asks for dynamic
+# partition overwrite, on its own write.
 #
 # Broadcast policy: no broadcast from planner *estimates* (static threshold
 # off); AQE may still turn a join into a broadcast once the shuffle has
@@ -22,7 +23,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # streaming state (dedup keys within the watermark, open windows) lives
     # in RocksDB off the JVM heap, checkpointed incrementally as changelogs
     "spark.sql.streaming.stateStore.providerClass":
@@ -95,10 +95,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique folder below the shared checkpoint root for staged writes."""
-    root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/feeflow-{name}-{uuid.uuid4().hex}"
+    """A unique folder below the shared checkpoint root for staged writes;
+    :func:`drop_scratch` removes this application's folders."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/feeflow-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path): any store that Spark reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the staged copies that this application wrote; the number gone.
+    Call it when a job's outputs are written: frames read from the copies
+    cannot be used afterwards."""
+    gone = 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        fs, hadoop = file_system(spark, path)
+        gone += bool(fs.delete(hadoop, True))
+    return gone
 
 
 def materialize_shared(df, name: str):

@@ -34,12 +34,20 @@ FIXTURE_TX_FRAME_SIZE = 64
 _READ_CACHE: dict = {}
 
 
+def _state(spark: SparkSession, path: str) -> tuple:
+    """Size and change time of a table: another state is another table."""
+    from feeflow.session import file_system
+
+    fs, hadoop = file_system(spark, path)
+    return fs.getContentSummary(hadoop).getLength(), fs.getFileStatus(hadoop).getModificationTime()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table.  The (lazy) DataFrame is memoized per
-    application and path: the tables are read-only, and a fresh
-    ``spark.read`` would list the folder and read the footer again."""
+    application, path and state of the files: a fresh ``spark.read`` would
+    list the folder and read the footer again."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, _state(spark, path))
     if key not in _READ_CACHE:
         _READ_CACHE[key] = spark.read.parquet(path)
     return _READ_CACHE[key]
@@ -80,7 +88,7 @@ def parsed_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "block_size": F.col("li_bytes"),
         "block_vsize": F.expr("li_bytes * (50 + o_orderkey % 50) div 100"),
         "median_fee": F.col("o_totalprice") / FIXTURE_MEDIAN_DIVISOR,
-        "n_tx": (F.col("li_qty") * 1000).cast("int"),
+        "n_tx": (F.col("li_qty") * 1000).try_cast("int"),  # beyond an int: NULL, the row stays
         "total_fees": F.round(F.col("o_totalprice") * 100).cast("bigint"),
     }
     payload.update({name: F.col(f"f{i}") for i, name in enumerate(S.FEE_PERCENTILE_COLUMNS)})
@@ -102,7 +110,8 @@ def landed_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries in the session scan it instead of re-deriving it."""
     from feeflow.session import materialize_shared
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, root, *[_state(spark, f"{root}/{t}.parquet") for t in ("orders", "lineitem")])
     if key not in _LANDED:
         _LANDED[key] = materialize_shared(parsed_from_orders(spark, sf_dir), "parsed")
     return _LANDED[key]

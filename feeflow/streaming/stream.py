@@ -32,7 +32,13 @@ from feeflow.operators.marts import (
     minute_alerts,
     round_outputs,
 )
-from feeflow.operators.parse import decode_body
+from feeflow.operators.parse import (
+    decode_body,
+    explode_transactions,
+    parse_messages,
+    route_frames,
+    split_corrupt,
+)
 
 GRAINS = {
     "minute": ("1 minute", "time_minute", MINUTE_AGGS, minute_alerts),
@@ -57,6 +63,30 @@ def stream_capture(spark: SparkSession, path: str | None, fmt: str = "parquet",
     return r.load(path) if path else r.load()
 
 
+def parsed_stream(capture: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows of all blocks, quarantined messages) of a capture stream.
+
+    The batch parse is narrow, so the same functions run on a stream.
+    Quarantined are messages whose body is not JSON or whose time cannot be
+    read: a row without a time has no window, and would vanish from a mart
+    without a trace."""
+    good, bad = split_corrupt(decode_body(capture))
+    timed = parse_event_time("EnqueuedTimeUtc").isNotNull()
+    return parse_messages(good.where(timed)), bad.unionByName(good.where(~timed))
+
+
+def event_stream(frames: DataFrame, time_col: str = "enqueued_time") -> tuple[DataFrame, DataFrame]:
+    """(routed events, transaction events) of a stream of live frames."""
+    return route_frames(frames, time_col=time_col), explode_transactions(frames)
+
+
+def dropped_late_rows(progresses: list) -> int:
+    """Rows that the watermark dropped, from a query's progress reports
+    (``query.recentProgress``): the sum over all stateful operators."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in progresses for op in
+               (p["stateOperators"] if isinstance(p, dict) else p.stateOperators or []))
+
+
 def first_block_rows(capture: DataFrame) -> DataFrame:
     """Captured messages -> one parsed row per message (its first block item,
     or the all-NULL row) - the row batch dedup would keep."""

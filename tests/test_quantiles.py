@@ -5,7 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feeflow.operators.quantiles import exact_quantiles
+from feeflow.operators.quantiles import (
+    _inside,
+    _sketches,
+    _with_brackets,
+    exact_quantiles,
+    solved_brackets,
+)
 
 QS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
 NAMES = [f"q{i}" for i in range(len(QS))]
@@ -28,10 +34,13 @@ def _expected(df):
     return {r["g"]: r["p"] for r in exp.collect() if r["p"] is not None}
 
 
-@pytest.mark.parametrize("accuracy,slack", [(100_000, 4.0), (1, 0.0)])
-def test_exact_quantiles_match_percentile(spark, accuracy, slack):
+# the second set misses brackets and has to narrow crowded ones; the third
+# joins by salt instead of a broadcast
+@pytest.mark.parametrize("most,slack,groups", [(100_000, 0.005, 100_000), (5, -0.002, 100_000),
+                                               (100_000, 0.005, 0)])
+def test_exact_quantiles_match_percentile(spark, most, slack, groups):
     df = _data(spark, 7)
-    got = exact_quantiles(df, ["g"], "v", QS, NAMES, accuracy=accuracy, slack=slack).collect()
+    got = exact_quantiles(df, ["g"], "v", QS, NAMES, most=most, slack=slack, broadcast_groups=groups).collect()
     got = {r["g"]: [r[n] for n in NAMES] for r in got}
     exp = _expected(df)
     assert set(got) == set(exp)  # all-NULL group absent, NULL key kept
@@ -40,12 +49,24 @@ def test_exact_quantiles_match_percentile(spark, accuracy, slack):
             assert a == pytest.approx(b, rel=1e-12, abs=1e-12), (g, got[g], vals)
 
 
-def test_exact_quantiles_plan_has_no_single_group_collect(spark):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_are_not_shuffled_by_group(spark):
+    """With broadcasts off for estimates, every exchange by the group alone is
+    of aggregated rows; no exact percentile, and only bracket hits explode."""
     df = _data(spark, 3)
-    plan = exact_quantiles(df, ["g"], "v", [0.5], ["m"])._jdf.queryExecution().optimizedPlan().toString()
-    # the exact Percentile aggregate appears only on the fallback branch, which
-    # is filtered to groups whose bracket missed
-    assert "percentile_approx" in plan
+    rows = df.select("g", F.col("v").alias("_v")).where("v is not null")
+    brackets = solved_brackets(rows, ["g"], [0.5])
+    plan = _plan(_inside(rows, brackets, ["g"], 1, 100_000))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    plan = _plan(_sketches(rows, ["g"]))
+    assert "partial_kll_sketch_agg_double" in plan and "percentile" not in plan
+    plan = _plan(exact_quantiles(df, ["g"], "v", [0.5], ["m"]))
+    assert "percentile(" not in plan and "collect_list(_v" not in plan
+    salted = _plan(_with_brackets(rows, brackets, ["g"], 0))
+    assert "_s#" in salted.split("hashpartitioning(")[1].split(")")[0] or "_s#" in salted
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -72,23 +93,30 @@ def test_exact_quantiles_property(spark, rows, q):
         assert got[g] == pytest.approx(float(np.percentile(vals, q * 100)), rel=1e-9, abs=1e-9)
 
 
-def test_hot_group_candidates_are_bracket_sized(spark):
+def test_hot_group_reaches_the_window_as_bracket_values(spark):
     """A group holding a third of the rows reaches the final window as a few
     thousand candidate values, not as its ~100k rows."""
-    from feeflow.operators.quantiles import quantile_candidates
-
     n = 300_000
     df = spark.range(n).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', CAST(id % 97 AS STRING)) END AS g",
         "CAST((id * 7919) % 1000003 AS DOUBLE) / 7.0 AS v")
-    _, _, cand = quantile_candidates(df, ["g"], "v", [0.5], accuracy=1000, slack=4.0)
-    hot = cand.where("g = 'hot' AND _v IS NOT NULL").count()
-    assert 0 < hot <= 2 * 4.0 * (n / 3) / 1000 * 1.5
-    got = exact_quantiles(df, ["g"], "v", [0.5], ["m"], accuracy=1000).where("g = 'hot'").first().m
+    rows = df.select("g", F.col("v").alias("_v"))
+    brackets = solved_brackets(rows, ["g"], [0.5], most=2000)
+    hot = _inside(rows, brackets.where("g = 'hot'"), ["g"], 1, 100_000).count()
+    assert 0 < hot <= 2000
+    got = exact_quantiles(df, ["g"], "v", [0.5], ["m"], most=2000).where("g = 'hot'").first().m
     exp = df.where("g = 'hot'").agg(F.median("v")).first()[0]
     assert got == exp
 
 
+def test_nan_and_infinities(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", nan), ("b", 1.0), ("b", nan), ("b", 2.0), ("c", inf), ("c", -inf), ("c", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.lo, r.mid) for r in exact_quantiles(df, ["g"], "v", [0.0, 0.5], ["lo", "mid"]).collect()}
+    assert str(got["a"]) == str((nan, nan)) and got["b"] == (1.0, 2.0) and got["c"] == (-inf, 3.0)
+
+
 def test_global_quantiles_without_keys(spark):
     df = _data(spark, 11)
     got = exact_quantiles(df, [], "v", QS, NAMES).first()
