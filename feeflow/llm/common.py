@@ -43,6 +43,13 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def packed(df: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``row``, beside the ``extra`` ones:
+    an operator that passes rows on cannot clash with their column names."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+                     *[c.alias(name) for name, c in extra.items()])
+
+
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     """Fingerprint of a row's text: with the id it tells rows apart.
 

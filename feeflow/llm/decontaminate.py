@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.bytehash import Rolling, mix, row_slices, text_buffer
-from feeflow.llm.common import text_of
+from feeflow.llm.common import packed, text_of
 
 SIMILARITY_PARTS = 5      # one edit allowed per five words: similarity 0.8
 MIN_ITEM_WORDS = 5        # shorter items name no passage
@@ -189,7 +189,7 @@ def _matched(shared, parts: int, carried: list[str], clean: bool):
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(shared.value, parts)
         for batch in batches:
-            data, offsets = text_buffer(batch.column("_words"))
+            data, offsets = text_buffer(batch.column("words"))
             for a, b in row_slices(offsets, BLOCK):
                 found = match_block(block, data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a],
                                     parts)
@@ -197,7 +197,7 @@ def _matched(shared, parts: int, carried: list[str], clean: bool):
                     index = np.setdiff1d(np.arange(a, b), [a + f[0] for f in found])
                 else:
                     index = np.array([a + f[0] for f in found], dtype=np.int64)
-                taken = [batch.column(c).take(pa.array(index)) for c in carried]
+                taken = [batch.column(c).take(pa.array(index, pa.int64())) for c in carried]
                 extra = [] if clean else [
                     pa.array([block.ids[f[1]] for f in found], pa.int64()),
                     pa.array([block.sizes[f[1]] for f in found], pa.int64()),
@@ -207,10 +207,6 @@ def _matched(shared, parts: int, carried: list[str], clean: bool):
     return matched
 
 
-def _schema(documents: DataFrame, names: list[str]) -> str:
-    return ", ".join(f"`{n}` {documents.schema[n].dataType.simpleString()}" for n in names)
-
-
 def matches(documents: DataFrame, benchmark: DataFrame,
             parts: int = SIMILARITY_PARTS) -> DataFrame:
     """One row per document row and item found in it within one edit per
@@ -223,8 +219,8 @@ def matches(documents: DataFrame, benchmark: DataFrame,
     an empty table on either side gives no rows.
     """
     spark = documents.sparkSession
-    rows = documents.select("doc_id", words_of(text_of()).alias("_words"))
-    schema = f"{_schema(documents, ['doc_id'])}, {MATCHES}"
+    rows = documents.select("doc_id", words_of(text_of()).alias("words"))
+    schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, {MATCHES}"
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
@@ -236,9 +232,8 @@ def matches(documents: DataFrame, benchmark: DataFrame,
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame,
                       parts: int = SIMILARITY_PARTS) -> DataFrame:
     """The rows of ``documents`` in which no item is found, unchanged."""
-    spark, names = documents.sparkSession, documents.columns
+    spark, rows = documents.sparkSession, packed(documents, words=words_of(text_of()))
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
-        documents = documents.withColumn("_words", words_of(text_of())).mapInArrow(
-            _matched(shared, parts, names, clean=True), _schema(documents, names))
-    return documents
+        rows = rows.mapInArrow(_matched(shared, parts, rows.columns, clean=True), rows.schema)
+    return rows.select("row.*")

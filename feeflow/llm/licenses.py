@@ -151,15 +151,15 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, mostly: float = MOSTLY)
     above = small(stored(inherited_licences(files, own), "inherited-licences"))
     mine = own.select(F.col("path").alias("_path"), F.col("text_key").alias("_key"),
                       F.col("licence").alias("_own"), F.col("similarity").alias("_similarity"))
-    names = [c for c in files.columns if c != "text"]
-    keyed = files.select(*[F.col(f"`{c}`") for c in names], row_key().alias("__key"),
-                         _directory().alias("__dir"))
+    keyed = files.withColumns({"__key": row_key(), "__dir": _directory()}) \
+        .select(F.struct(*[F.col(f"`{c}`") for c in files.columns if c != "text"]).alias("row"),
+                F.col("path"), F.col("__key"), F.col("__dir"))
     joined = keyed.join(mine, F.col("path").eqNullSafe(F.col("_path")) & (F.col("__key") == F.col("_key")),
                         "left").join(above.withColumnRenamed("licence", "_above"),
                                      F.col("__dir") == F.col("directory"), "left")
     origin = F.when(F.col("_own").isNotNull(), "own").when(F.col("_above").isNotNull(), "inherited") \
         .otherwise("none")
-    return joined.select(*[F.col(f"`{c}`") for c in names], F.coalesce("_own", "_above").alias("licence"),
+    return joined.select("row.*", F.coalesce("_own", "_above").alias("licence"),
                          origin.alias("origin"), F.col("_similarity").alias("similarity"))
 
 

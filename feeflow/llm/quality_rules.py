@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feeflow.llm.bytehash import Rolling, row_slices, text_buffer
-from feeflow.llm.common import text_of
+from feeflow.llm.common import packed, text_of
 
 WINDOW = 5              # words of the base rule's windows
 MIN_WORDS = 10
@@ -222,10 +223,11 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_covered_words", "longest_repeat")
 
 
-def _counted(least: int, carried: list[str], source: str):
+def _counted(least: int, carried: list[str], source: str | None):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch.column(source))
+            texts = batch.column(source) if source else batch.column("row").field("text")
+            data, offsets = text_buffer(texts)
             for a, b in row_slices(offsets, BLOCK):
                 found = measure(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], least)
                 yield pa.RecordBatch.from_arrays(
@@ -248,13 +250,21 @@ def quality_rules(documents: DataFrame, carried: tuple[str, ...] = ("doc_id",),
     A null or empty text has no words and fails the base.  Rows are judged alone: order, ties and
     repeated rows do not matter; an empty table gives an empty table.
     """
-    fields = [f for f in documents.schema.fields if f.name in carried]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-                       + [f"{c} long" for c in COUNTS])
-    names = [f.name for f in fields]
-    extra = [] if "text" in names else [text_of().alias("_text")]
-    counts = documents.select(*[F.col(f"`{c}`") for c in names], *extra) \
-        .mapInArrow(_counted(min_repeat, names, "_text" if extra else "text"), schema)
+    names = [c for c in documents.columns if c in carried]
+    rows = documents.select(*[F.col(f"`{c}`") for c in names])
+    source = "_text"
+    while source in names:
+        source += "_"
+    return _judged(rows.schema, documents.select(*rows.columns, text_of().alias(source)), source,
+                   min_repeat, max_covered, max_repeat)
+
+
+def _judged(kept: T.StructType, rows: DataFrame, source: str | None, min_repeat: int,
+            max_covered: float, max_repeat: int) -> DataFrame:
+    """The ``kept`` columns of ``rows`` with the counts and verdicts of their
+    texts: the column ``source``, or the field text of ``row``."""
+    schema = T.StructType(kept.fields + [T.StructField(c, T.LongType()) for c in COUNTS])
+    counts = rows.mapInArrow(_counted(min_repeat, kept.names, source), schema)
     base = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_WINDOW_PERCENT * F.col("n_words"))
     good = ((F.col("n_covered_words") <= max_covered * F.col("n_words"))
@@ -264,6 +274,5 @@ def quality_rules(documents: DataFrame, carried: tuple[str, ...] = ("doc_id",),
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that the rules keep, unchanged."""
-    names = documents.columns
-    judged = quality_rules(documents, carried=tuple(names))
-    return judged.where("kept").select(*[F.col(f"`{c}`") for c in names])
+    rows = packed(documents)
+    return _judged(rows.schema, rows, None, MIN_REPEAT, MAX_COVERED, MAX_REPEAT).where("kept").select("row.*")
