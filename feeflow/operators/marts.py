@@ -112,11 +112,14 @@ def _count_status(label: str) -> Column:
 
 
 _AGG_SQL = {"sum": "CAST(sum(`{c}`) AS BIGINT)", "max": "max(`{c}`)", "min": "min(`{c}`)"}
+INTEGER_COLUMNS = ("number_of_transactions", "block_size", "block_vsize", "total_fees")
 ROUNDED_KINDS = ("avg", "median")
 
 
 def agg_expr(kind: str, col: str, distinct: str = "exact", median: str = "builtin") -> Column:
     """One unrounded aggregate (built as SQL text: one JVM call per column)."""
+    if kind == "avg" and col in INTEGER_COLUMNS:  # an integer sum is exact as it is
+        return F.expr(f"CASE WHEN count(`{col}`) > 0 THEN CAST(sum(`{col}`) AS DOUBLE) / count(`{col}`) END")
     if kind == "avg":
         return F.expr(exact_avg_sql(col))
     if kind in _AGG_SQL:

@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # the marts' exact averages hold several sums per column: keep their wide
+    # aggregates inside whole-stage codegen
+    "spark.sql.codegen.maxFields": "400",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # streaming state (dedup keys within the watermark, open windows) lives
     # in RocksDB off the JVM heap, checkpointed incrementally as changelogs

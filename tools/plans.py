@@ -35,10 +35,9 @@ NOTES = {
         "Single-distinct aggregate without `Expand`: partial aggregate keyed by (hour, status, sequence), "
         "exchange on that key (a busy hour spreads over reducers), then partial/final by (hour, status).",
     "daily mart on the materialized intermediate (G1)":
-        "Main aggregate plus the distributed exact median: `percentile_approx` bracket per day, join back, "
-        "one tagged candidate aggregate, and a window over bracket-sized candidates only. The exact "
-        "`percentile` branch runs only for groups whose bracket missed. No `BroadcastExchange` appears "
-        "statically; AQE may broadcast the per-day stats once their size has been measured.",
+        "Main aggregate plus the distributed exact median. Its brackets come from salted KLL sketches (stored, "
+        "one row per day); the rows meet them by a broadcast whose row count was checked, so the values are "
+        "not shuffled by day; the window sees the (value, count) pairs inside a bracket only.",
     "exact quantiles (G4, per day of transactions)":
         "Same shape as the daily median, for 7 quantiles in one pass.",
     "high-water-mark slice over the stored parsed table (F1)":
