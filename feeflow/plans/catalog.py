@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
-from feeflow.functions.expressions import round_to, status_class_sql, time_bucket
+from feeflow.functions.expressions import number_format, round_to, status_class_sql, time_bucket
 from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
@@ -43,7 +43,15 @@ from feeflow.operators.staging import (
 from feeflow.sources import fixtures as X
 from feeflow.plans.jobs import ingest
 from feeflow.session import materialize_shared, scratch_path
-from feeflow.sources.sinks import landing_json, load_mart, load_parsed, typed_load, write_parsed
+from feeflow.sources.sinks import (
+    landing_json,
+    load_mart,
+    load_parsed,
+    materialize,
+    read_capture,
+    typed_load,
+    write_parsed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -291,6 +299,82 @@ def q_snapshot(spark, sf):
     return load_mart(spark, "fct_hours_down", path, "time_hour", reuse_seconds=0)[0]
 
 
+@query
+def q_capture_scan(spark, sf):
+    """A capture tree whose later files have one more column."""
+    root, cap = scratch_path(spark, "capture"), _capture(spark, sf)
+    odd = F.col("SequenceNumber") % 2 == 1
+    cap.where(~odd).write.parquet(f"{root}/day=1/hour=0")
+    cap.where(odd).withColumn("PartitionId", F.lit(3)).write.parquet(f"{root}/day=2")
+    return read_capture(spark, root, merge_schema=True).select(
+        F.col("SequenceNumber").alias("sequence_number"), F.col("EnqueuedTimeUtc").alias("capture_text"),
+        F.col("PartitionId").alias("partition_id"))
+
+
+@query
+def q_envelope(spark, sf):
+    frames = X.frames_from_parsed(X.landed_parsed(spark, sf))
+    event = P.envelope_json(P.route_frames(frames))
+    return event.select(
+        F.get_json_object("event", "$.payload_type").alias("payload_type"),
+        F.get_json_object("event", "$.timestamp").cast("bigint").alias("timestamp"),
+        F.json_array_length(F.get_json_object("event", "$.data")).alias("n_items"))
+
+
+@query
+def q_raw_block(spark, sf):
+    rows = P.explode_blocks(P.parse_capture(_capture(spark, sf)), keep_raw=True)
+    raw = F.col("raw_block_object")
+    return rows.select("sequence_number", "enqueued_time", "block_index",
+                       F.get_json_object(raw, "$.blockSize").cast("bigint").alias("raw_block_size"),
+                       F.get_json_object(raw, "$.totalFees").cast("bigint").alias("raw_total_fees"))
+
+
+@query
+def q_materialized(spark, sf):
+    """The hourly mart as a table clustered by time and status."""
+    return materialize(_hourly(spark, sf), scratch_path(spark, "clustered"),
+                       cluster_by=["time_hour", "network_congestion_status"], files_per_partition=4)
+
+
+@query
+def q_number_format(spark, sf):
+    return _hourly(spark, sf).select(
+        "time_hour", "network_congestion_status",
+        number_format("total_transactions", 0).alias("transactions_text"))
+
+
+# -- streams -----------------------------------------------------------------------------
+
+@query
+def q_stream_minute(spark, sf):
+    """The minute mart over a stream of captured messages, replayed once, to
+    its end; the approximate distinct count is left out."""
+    from feeflow.streaming import stream as ST
+
+    root = scratch_path(spark, "stream")
+    cap = _capture(spark, sf)
+    cap.unionByName(cap).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    mart = ST.stream_mart(ST.stream_intermediate(ST.stream_capture(spark, f"{root}/capture")), "minute",
+                          precision=DIGITS)
+    ST.run_to_table(mart, f"{root}/mart", f"{root}/progress")
+    return spark.read.parquet(f"{root}/mart").drop("total_blocks")
+
+
+@query
+def q_stream_load(spark, sf):
+    """Incremental load of two landings that overlap by a day and a half."""
+    from feeflow.streaming import stream as ST
+
+    root, parsed = scratch_path(spark, "stream-load"), X.landed_parsed(spark, sf)
+    t = F.col("enqueued_time")
+    for part in (parsed.where(t < F.lit("2026-09-21 12:00:00").cast("timestamp_ntz")),
+                 parsed.where(t >= F.lit("2026-09-20 00:00:00").cast("timestamp_ntz"))):
+        part.write.mode("append").parquet(f"{root}/landing")
+        ST.load_parsed_incremental(spark, f"{root}/landing", f"{root}/staging", f"{root}/progress")
+    return spark.read.parquet(f"{root}/staging").drop("event_date")
+
+
 # -- aggregates ------------------------------------------------------------------------
 
 @query

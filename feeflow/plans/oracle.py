@@ -70,7 +70,8 @@ _AGGREGATES = {
 }
 
 
-def _mart(name: str, unit: str, key: str, outputs: list, by_status: bool, alerts: list) -> str:
+def _mart(name: str, unit: str, key: str, outputs: list, by_status: bool, alerts: list,
+          source: str = "inter") -> str:
     """One mart as two named steps: the aggregates, then the alert classes."""
     status = "network_congestion_status, " if by_status else ""
     columns = ", ".join(f"{_AGGREGATES[kind](c)} AS {out}" for out, kind, c in outputs)
@@ -79,10 +80,34 @@ def _mart(name: str, unit: str, key: str, outputs: list, by_status: bool, alerts
         f" AND ({value} > bound OR (closed AND {value} = bound))), '{calm}') AS {out}"
         for out, alert, value, calm in alerts)
     return (f"{name}_sums AS (SELECT CAST(date_trunc('{unit}', enqueued_time) AS TIMESTAMP) AS {key}, {status}"
-            f"{columns}, {exact_avg('median_fee')} AS raw_avg_median_fee FROM inter GROUP BY ALL),\n"
+            f"{columns}, {exact_avg('median_fee')} AS raw_avg_median_fee FROM {source} GROUP BY ALL),\n"
             f"{name} AS (SELECT * EXCLUDE (raw_avg_median_fee), {classes} FROM {name}_sums)")
 
 
+def _features(prefix: str, source: str) -> str:
+    """The feature columns of ``source`` as two named steps."""
+    return f"""{prefix}per_unit AS (
+  SELECT d.*, safe.bytes, safe.txs, safe.low
+  FROM {source} d, LATERAL (SELECT CASE WHEN d.block_size > 0 THEN CAST(d.block_size AS DOUBLE) END AS bytes,
+                                CASE WHEN d.number_of_transactions > 0
+                                     THEN CAST(d.number_of_transactions AS DOUBLE) END AS txs,
+                                CASE WHEN d.fee_p10 > 0 THEN d.fee_p10 END AS low) safe
+),
+{prefix}inter AS (
+  SELECT mempool_id, sequence_number, enqueued_time, block_size, block_vsize, number_of_transactions,
+         total_fees, median_fee, {", ".join(P)},
+         fee_p99 - fee_p10 AS fee_spread_range,
+         fee_p75 - fee_p25 AS interquartile_fee_range,
+         fee_p99 / low AS fee_skewness_ratio,
+         coalesce(block_vsize / bytes, 0.0) AS block_compression_ratio,
+         coalesce(total_fees / bytes, 0.0) AS miner_revenue_per_byte,
+         coalesce(total_fees / txs, 0.0) AS avg_fee_per_tx,
+         [{_LABELS}][1 + (coalesce(median_fee, 0) >= {S.CONGESTION_MODERATE_FROM})::INT
+                       + (coalesce(median_fee, 0) > {S.CONGESTION_HIGH_ABOVE})::INT] AS network_congestion_status
+  FROM {prefix}per_unit
+)"""
+
+
 BASE = f"""
 li_sums AS (
   SELECT l_orderkey,
@@ -123,26 +148,7 @@ dedup AS (
            total_fees NULLS LAST, median_fee NULLS LAST, block_vsize NULLS LAST,
            number_of_transactions NULLS LAST, {", ".join(f"{c} NULLS LAST" for c in P)}
 ),
-per_unit AS (
-  SELECT d.*, safe.bytes, safe.txs, safe.low
-  FROM dedup d, LATERAL (SELECT CASE WHEN d.block_size > 0 THEN CAST(d.block_size AS DOUBLE) END AS bytes,
-                                CASE WHEN d.number_of_transactions > 0
-                                     THEN CAST(d.number_of_transactions AS DOUBLE) END AS txs,
-                                CASE WHEN d.fee_p10 > 0 THEN d.fee_p10 END AS low) safe
-),
-inter AS (
-  SELECT mempool_id, sequence_number, enqueued_time, block_size, block_vsize, number_of_transactions,
-         total_fees, median_fee, {", ".join(P)},
-         fee_p99 - fee_p10 AS fee_spread_range,
-         fee_p75 - fee_p25 AS interquartile_fee_range,
-         fee_p99 / low AS fee_skewness_ratio,
-         coalesce(block_vsize / bytes, 0.0) AS block_compression_ratio,
-         coalesce(total_fees / bytes, 0.0) AS miner_revenue_per_byte,
-         coalesce(total_fees / txs, 0.0) AS avg_fee_per_tx,
-         [{_LABELS}][1 + (coalesce(median_fee, 0) >= {S.CONGESTION_MODERATE_FROM})::INT
-                       + (coalesce(median_fee, 0) > {S.CONGESTION_HIGH_ABOVE})::INT] AS network_congestion_status
-  FROM per_unit
-),
+{_features("", "dedup")},
 limits(alert, bound, closed, label) AS (VALUES {_LIMITS}),
 {_mart("daily", "day", "mempool_date", DAILY_AGGS, False, DAILY_ALERTS)},
 {_mart("hourly", "hour", "time_hour", HOURLY_AGGS, True, HOURLY_ALERTS)},
@@ -167,6 +173,12 @@ exploded AS (
          {", ".join("CAST(NULL AS DOUBLE)" for _ in P)}
   FROM messages WHERE n_ok = 0
 ),
+first_blocks AS (
+  SELECT CAST(NULL AS VARCHAR) AS mempool_id, * EXCLUDE (n_tx), n_tx AS number_of_transactions
+  FROM exploded WHERE coalesce(block_index, 0) = 0
+),
+{_features("capture_", "first_blocks")},
+{_mart("capture_minute", "minute", "time_minute", MINUTE_AGGS, True, MINUTE_ALERTS, "capture_inter")},
 hour_tx AS (
   SELECT CAST(date_trunc('hour', enqueued_time) AS TIMESTAMP) AS bucket,
          CAST(sum(number_of_transactions) AS BIGINT) AS transactions
@@ -333,6 +345,28 @@ ORACLE = {
         "ELSE CASE WHEN n_ok > 0 THEN 'array' ELSE 'object' END END AS json_type, count(*) AS n_messages "
         "FROM messages, (VALUES ('payload_type'), ('timestamp'), ('data')) f(field) GROUP BY ALL"
     ),
+    "q_capture_scan": q(
+        "SELECT sequence_number, strftime(enqueued_time, '%-m/%-d/%Y %-I:%M:%S %p') AS capture_text, "
+        "CASE WHEN sequence_number % 2 = 1 THEN CAST(3 AS INTEGER) END AS partition_id FROM messages"
+    ),
+    "q_envelope": q(
+        "SELECT e.payload_type, CAST(epoch(m.enqueued_time) AS BIGINT) AS timestamp, "
+        "CASE WHEN e.payload_type = 'mempool_blocks_event' THEN CAST(m.n_ok AS INTEGER) END AS n_items "
+        "FROM messages m JOIN (VALUES ('block_event'), ('mempool_blocks_event'), ('stats_event')) e(payload_type) "
+        "ON CASE e.payload_type WHEN 'stats_event' THEN m.n_ok = 0 "
+        "WHEN 'block_event' THEN m.n_ok > 0 AND m.sequence_number % 3 = 0 ELSE m.n_ok > 0 END"
+    ),
+    "q_raw_block": q(
+        "SELECT sequence_number, enqueued_time, block_index, block_size AS raw_block_size, "
+        "total_fees AS raw_total_fees FROM exploded"
+    ),
+    "q_materialized": q("SELECT * FROM hourly"),
+    "q_number_format": q(
+        "SELECT time_hour, network_congestion_status, format('{:,}', total_transactions) AS transactions_text "
+        "FROM hourly"
+    ),
+    "q_stream_minute": q("SELECT * EXCLUDE (total_blocks) FROM capture_minute"),
+    "q_stream_load": q("SELECT * FROM dedup"),
     "q_parsed_roundtrip": q("SELECT * FROM parsed"),
     "q_overwrite_shrink": q(
         "SELECT * FROM parsed WHERE enqueued_time >= TIMESTAMP '2026-09-18 00:00:00' "

@@ -163,6 +163,16 @@ def run_available(df: DataFrame, name: str, checkpoint: str, mode: str = "append
     return q
 
 
+def run_to_table(df: DataFrame, path: str, checkpoint: str):
+    """Drain everything available into a Parquet table (complete mode: each
+    trigger replaces the table with the whole result)."""
+    q = (df.writeStream.outputMode("complete")
+         .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def load_parsed_incremental(spark: SparkSession, landing_path: str, target_path: str, checkpoint: str,
                             schema=S.PARSED):
     """Incremental typed load: each landed Parquet file once, keyed upsert
