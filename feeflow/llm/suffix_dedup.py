@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feeflow.llm.bytehash import Rolling, mix, row_slices, text_buffer
-from feeflow.llm.common import row_key, stored, text_of
+from feeflow.llm.common import row_key, small, stored, text_of
 
 THRESHOLD = 200
 SEED = 64
@@ -214,10 +214,13 @@ def repeating_runs(documents: DataFrame, threshold: int = THRESHOLD,
     rows = _rows(documents)
     runs = rows.mapInArrow(_scan(threshold, seed), RUNS)
     # round 1: anchors whose seed occurs once hold no repeating position
-    seeds = runs.groupBy("seed").agg(
+    # (stored by itself, so that the join below deals the runs anew and a seed
+    # with a third of them can be split, or is not shuffled at all)
+    seeds = stored(runs.groupBy("seed").agg(
         F.count(F.lit(1)).alias("total"), F.min("span").alias("a"), F.max("span").alias("b")
-    ).where("total > 1").select(F.col("seed").alias("_seed"), (F.col("a") != F.col("b")).alias("several"))
-    held = stored(runs.join(seeds, F.col("seed") == F.col("_seed")).drop("_seed"), "runs")
+    ).where("total > 1").select(F.col("seed").alias("_seed"), (F.col("a") != F.col("b")).alias("several")),
+        "seeds")
+    held = stored(runs.join(small(seeds, 1_000_000), F.col("seed") == F.col("_seed")).drop("_seed"), "runs")
     settled = held.where("not several").select("doc_id", "text_key", "low", "n")
     # round 2: several surroundings; those seen twice are past the threshold
     kinds = stored(
@@ -225,8 +228,8 @@ def repeating_runs(documents: DataFrame, threshold: int = THRESHOLD,
             F.count(F.lit(1)).alias("copies"),
             F.min(F.struct("doc_id", "text_key", "low", "n", "at")).alias("one")),
         "surroundings")
-    twice = kinds.where("copies > 1").select(
-        F.col("seed").alias("_seed"), F.col("span").alias("_span"))
+    twice = small(kinds.where("copies > 1").select(
+        F.col("seed").alias("_seed"), F.col("span").alias("_span")))
     whole = held.where("several").join(
         twice, (F.col("seed") == F.col("_seed")) & (F.col("span") == F.col("_span")), "left_semi")
     found = [settled, whole.select("doc_id", "text_key", "low", "n")]
@@ -239,9 +242,9 @@ def repeating_runs(documents: DataFrame, threshold: int = THRESHOLD,
             .mapInArrow(_cells(threshold, width), CELLS)
         cells = stored(cells, f"cells-{width}")
         key = ["seed", "cell", "first", "second"]
-        classes = cells.groupBy(*key).agg(
+        classes = stored(cells.groupBy(*key).agg(
             F.sum("copies").alias("total"), F.min("span").alias("a"), F.max("span").alias("b")
-        ).where("total > 1").select(*key, (F.col("a") == F.col("b")).alias("whole"))
+        ).where("total > 1").select(*key, (F.col("a") == F.col("b")).alias("whole")), f"repeated-{width}")
         kept = stored(cells.join(classes, key), f"classes-{width}")
         found.append(kept.where("whole and copies = 1").select("doc_id", "text_key", "low", "n"))
         open_runs = kept.where("not whole").select("doc_id", "text_key", F.struct(
