@@ -132,13 +132,15 @@ def upsert(
     the files it replaces and a lost executor re-reads that copy, not the
     half-written table.  Returns the number of touched days.
     """
-    from feeflow.session import materialize_shared
+    from feeflow.session import file_system, materialize_shared
     from feeflow.sources.sinks import table_exists
 
     batch = batch.withColumn(partition_col, F.to_date(F.col(time_col)))
     if not table_exists(spark, target_path):
         latest_per_key(batch, key).write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
-        return batch.select(partition_col).distinct().count()
+        fs, root = file_system(spark, target_path)
+        return sum(s.getPath().getName().startswith(f"{partition_col}=") for s in fs.listStatus(root))
+    batch = materialize_shared(batch, "upsert-batch")  # read twice: its days, then its rows
     target = spark.read.parquet(target_path)
     # The batch's days (a short list: one value per day the batch spans) go
     # back as literals, so the target scan prunes to those partitions at
