@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feeflow.session import scratch_path
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,8 +55,3 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     keys.
     """
     return F.xxhash64(F.lit(17), text_of(text_column))
-
-
-def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in order, cast; other columns are dropped."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])

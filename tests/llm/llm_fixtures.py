@@ -1,7 +1,5 @@
 """Small document tables for the training-data operators."""
 
-import random
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use inside; input columns of these names
 #: must neither break nor change them.
