@@ -36,7 +36,7 @@ WINDOW = 1024
 UNIT = 16
 DEPTH = 3
 END_ID = 0
-BLOCK = 1 << 20
+BLOCK = 4 << 20
 MAX_BROADCAST_OFFSETS = 200_000  # rows of 28 bytes; beyond it the join shuffles
 
 

@@ -28,7 +28,7 @@ from feeflow.llm.tokens import encoder
 from feeflow.session import scratch_path
 
 END_ID = 2
-BLOCK = 1 << 20
+BLOCK = 4 << 20
 OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
