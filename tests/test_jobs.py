@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from feeflow import schemas as S
 from feeflow.operators import parse as P
 from feeflow.operators.features import intermediate

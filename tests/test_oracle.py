@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 from feeflow.plans.catalog import queries as own_queries
 from feeflow.plans.oracle import ORACLE
-from conftest import SF001
+from paths import SF001
 
 TABLES = ["orders", "lineitem", "events"]
 

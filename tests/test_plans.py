@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from feeflow.operators.staging import latest_per_key
 from feeflow.plans.catalog import QUERIES
 from feeflow.plans.model_run import staging_from_tables

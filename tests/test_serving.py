@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from feeflow import schemas as S
 from feeflow.functions.expressions import number_format
 from feeflow.operators import parse as P

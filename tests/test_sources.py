@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from feeflow.operators.marts import mart_hourly
 from feeflow.plans.model_run import intermediate_from_tables, run_models, staging_from_tables
 from feeflow.sources import fixtures as X
