@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow.llm import (decontaminate, licenses, line_spread, order_minhash, packing, quality_fm, quality_rules,
-                         sharding, suffix_dedup, token_orc)
+                         sharding, suffix_dedup, token_alignment, token_orc)
 from feeflow.llm.common import table, text_of
 
 
@@ -20,6 +20,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -74,6 +80,10 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_files(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
 QUERIES = {
     "op1_extendible_shards": op1_extendible_shards,
     "op2_license_scan": op2_license_scan,
@@ -85,6 +95,7 @@ QUERIES = {
     "op8_nnls_packing": op8_nnls_packing,
     "op9_factorisation_machine": op9_factorisation_machine,
     "op10_token_orc": op10_token_orc,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
