@@ -18,7 +18,7 @@ import numpy as np
 from feeflow.llm.bytehash import Rolling, mix
 
 LONGEST = 64
-MOST_PIECES = 1_000_000   # per worker and tokenizer; beyond it, what the block uses stays
+MOST_PIECES = 500_000     # remembered per worker and tokenizer; beyond it all are forgotten
 
 # A character that starts with one of these bytes is not white space; lead
 # bytes of blocks that hold some white space count as unsafe.
@@ -54,9 +54,9 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class PieceIds:
     """Ids of pieces, remembered by name.  ``encode`` takes pieces as bytes and
-    gives their ids."""
+    gives all their ids and the number of each piece's."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]]):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self.forget()
 
@@ -67,10 +67,9 @@ class PieceIds:
         self.ids = np.zeros(0, dtype=np.int32)
 
     def _learn(self, names: np.ndarray, pieces: list[bytes]) -> None:
-        found = self.encode(pieces)
-        count = np.array([len(x) for x in found], dtype=np.int64)
+        found, count = self.encode(pieces)
         first = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, *found]).astype(np.int32)
+        self.ids = np.concatenate([self.ids, found])
         places = np.searchsorted(self.names, names)
         self.names = np.insert(self.names, places, names)
         self.first = np.insert(self.first, places, first)
@@ -99,11 +98,10 @@ class PieceIds:
         first, count = first[which], count[which]
         longs = np.flatnonzero((ends - starts) > LONGEST)
         if len(longs):   # by their bytes, each time
-            found = self.encode([raw[a:b] for a, b in zip(
+            found, own = self.encode([raw[a:b] for a, b in zip(
                 starts[longs].tolist(), ends[longs].tolist(), strict=True)])
-            count[longs] = [len(x) for x in found]
-            first[longs] = len(ids) + np.cumsum(count[longs]) - count[longs]
-            ids = np.concatenate([ids, *found])
+            count[longs], first[longs] = own, len(ids) + np.cumsum(own) - own
+            ids = np.concatenate([ids, found])
         before = np.cumsum(count) - count
         return ids[np.repeat(first - before, count) + np.arange(int(count.sum()))], count
 

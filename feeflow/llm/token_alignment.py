@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,8 +41,9 @@ from feeflow.llm.common import stored, text_of
 from feeflow.llm.piece_ids import PieceIds, cut, led_by_blank, piece_names
 from feeflow.llm.tokens import Encoder
 
-BLOCK = 1 << 20                    # bytes of text aligned at once, one text at least
+BLOCK = 1 << 19                    # bytes of text aligned at once, one text at least
 MOST_BROADCAST_PAIRS = 2_000_000   # 13 bytes each
+WORDS_KEPT = 50_000                # words whose ids help with new pieces (word and marks)
 B_BITS = 16                        # a pair is one number: A id, then B id in so many bits
 
 
@@ -53,9 +55,17 @@ class PlainEncoder(Encoder):
         self.tokenizer.encode_special_tokens = True
         self.special = []
 
-    def ids(self, pieces: list[bytes]) -> list[np.ndarray]:
-        return [np.frombuffer(x, dtype="<i4") for x in self.encode(
-            [p.decode("utf-8", "replace") for p in pieces])]
+    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        if self.cuts:
+            self._learn(set(texts))
+            found = [self.known[t] for t in texts]
+            if len(self.known) > WORDS_KEPT:   # PieceIds remembers the pieces
+                self.known = {}
+        else:
+            found = self.encode(texts)
+        return (np.frombuffer(b"".join(found), dtype="<i4"),
+                np.fromiter((len(x) >> 2 for x in found), np.int64, len(found)))
 
     def token_bytes(self) -> list[bytes]:
         byte = {c: b for b, c in self.alphabet.items()}
@@ -81,13 +91,13 @@ class PieceEncoder:
         self.cuts = not any("\n" in t or "▁" in t.lstrip("▁") for t in texts)
         self.lead = self.model.encode("\n")
 
-    def ids(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        led = [t[:1] == " " for t in texts]
-        found = self.model.encode([t[1:] if b else "\n" + t for t, b in zip(texts, led, strict=True)],
-                                  num_threads=1)
+        found = self.model.encode([t[1:] if t[:1] == " " else "\n" + t for t in texts], num_threads=1)
         skip = len(self.lead)
-        return [np.array(ids if b else ids[skip:], dtype=np.int32) for ids, b in zip(found, led, strict=True)]
+        found = [ids if t[:1] == " " else ids[skip:] for ids, t in zip(found, texts, strict=True)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())), count
 
     def token_bytes(self) -> list[bytes]:
         model = self.model
@@ -277,7 +287,7 @@ def _pair_values(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-_FLUSH = 4_000_000
+_FLUSH = 2_000_000
 
 
 def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
