@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feeflow.llm import (decontaminate, lexical_search, licenses, line_spread, order_minhash, packing, quality_fm,
-                         quality_rules, sharding, suffix_dedup, token_alignment, token_orc)
+from feeflow.llm import (decontaminate, language_crf, lexical_search, licenses, line_spread, order_minhash, packing,
+                         quality_fm, quality_rules, sharding, suffix_dedup, token_alignment, token_orc)
 from feeflow.llm.common import table, text_of
 
 
@@ -80,6 +80,10 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_files(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.identify(table(spark, sf_dir, "documents"))
+
+
 def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -99,6 +103,7 @@ QUERIES = {
     "op8_nnls_packing": op8_nnls_packing,
     "op9_factorisation_machine": op9_factorisation_machine,
     "op10_token_orc": op10_token_orc,
+    "op11_crf_language_id": op11_crf_language_id,
     "op12_block_max_search": op12_block_max_search,
     "op13_token_alignment": op13_token_alignment,
 }
