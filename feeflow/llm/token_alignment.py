@@ -283,30 +283,24 @@ def aligned_documents(documents: DataFrame, a_path: str, b_path: str) -> DataFra
     return stored(rows.mapInArrow(_aligned(a_path, b_path), ALIGNED), "aligned")
 
 
-def _pair_values(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False)
+LINKS_AT_ONCE = 1 << 19
 
 
-_FLUSH = 2_000_000
+def _pair_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, pairs, row bounds) of some rows at a time."""
+    column = batch.column("pairs")
+    bounds = column.offsets.to_numpy().astype(np.int64)
+    values = column.values.to_numpy(zero_copy_only=False)
+    for a, b in row_slices(bounds, LINKS_AT_ONCE):
+        yield a, b, values[bounds[a]: bounds[b]], bounds[a: b + 1] - bounds[a]
 
 
 def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links per pair, summed over some million links before they leave."""
-    held, size = [], 0
-
-    def summed(parts):
-        pair, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
-
+    """Links per pair, summed over some rows before they leave."""
     for batch in batches:
-        values = _pair_values(batch.column("pairs"))
-        held.append(values)
-        size += len(values)
-        if size >= _FLUSH:
-            yield summed(held)
-            held, size = [], 0
-    if size:
-        yield summed(held)
+        for _, _, values, _ in _pair_blocks(batch):
+            pair, n = np.unique(values, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
@@ -345,24 +339,22 @@ def _looked_up(shared):
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = shared.value
         for batch in batches:
-            column = batch.column("pairs")
-            values, bounds = _pair_values(column), column.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            place = np.minimum(np.searchsorted(pair, values), max(len(pair) - 1, 0))
-            known = pair[place] == values if len(pair) else np.zeros(len(values), dtype=bool)
-
-            def per_row(of_link: np.ndarray) -> np.ndarray:
-                total = np.concatenate([[0], np.cumsum(of_link, dtype=np.int64)])
-                return total[bounds[1:]] - total[bounds[:-1]]
-
-            count, is_best = np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-            count[known], is_best[known] = n[place[known]], best[place[known]]
-            left = np.concatenate([[0], np.cumsum(per_row(~known))]).astype(np.int32)
             names = [c for c in batch.schema.names if c != "pairs"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(per_row(is_best)), pa.array(per_row(count)),
-                 pa.ListArray.from_arrays(pa.array(left), pa.array(values[~known]))],
-                names=[*names, "n_best", "count_sum", "rest"])
+            for a, b, values, bounds in _pair_blocks(batch):
+                place = np.minimum(np.searchsorted(pair, values), max(len(pair) - 1, 0))
+                known = pair[place] == values if len(pair) else np.zeros(len(values), dtype=bool)
+
+                def per_row(of_link: np.ndarray, bounds=bounds) -> np.ndarray:
+                    total = np.concatenate([[0], np.cumsum(of_link, dtype=np.int64)])
+                    return total[bounds[1:]] - total[bounds[:-1]]
+
+                count, is_best = np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+                count[known], is_best[known] = n[place[known]], best[place[known]]
+                left = np.concatenate([[0], np.cumsum(per_row(~known))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(a, b - a) for c in names], pa.array(per_row(is_best)),
+                     pa.array(per_row(count)), pa.ListArray.from_arrays(pa.array(left), pa.array(values[~known]))],
+                    names=[*names, "n_best", "count_sum", "rest"])
     return looked_up
 
 
