@@ -105,6 +105,33 @@ def number_format(c, decimals: int) -> Column:
 
 # -- reproducible averages and rounding -----------------------------------------
 
+_PIECE = 1 << 26
+
+EXACT_PIECES = ("whole", "high", "low", "far")
+
+
+def exact_sum_sql(c: str, floor_type: str = "BIGINT") -> dict[str, str]:
+    """SQL text of the sums that make an exact average, by name.  All but
+    ``far`` (values of 1e15 and more) are integers, so sums of parts of the rows
+    add up to the sums of all rows."""
+    x = f"CAST(`{c}` AS DOUBLE)"
+    near = f"abs({x}) < 1e15D"
+    rest = f"({x} - floor({x})) * {_PIECE}.0D"
+    return {
+        "whole": f"sum(CASE WHEN {near} THEN CAST(floor({x}) AS {floor_type}) ELSE 0 END)",
+        "high": f"sum(CASE WHEN {near} THEN CAST(floor({rest}) AS {floor_type}) ELSE 0 END)",
+        "low": f"sum(CASE WHEN {near} THEN CAST(floor(({rest} - floor({rest})) * {_PIECE}.0D) AS {floor_type}) "
+               "ELSE 0 END)",
+        "far": f"coalesce(sum(CASE WHEN NOT ({near}) THEN {x} END), 0.0D)",
+    }
+
+
+def exact_total_sql(pieces: dict[str, str]) -> str:
+    """SQL text of the total that the sums of :func:`exact_sum_sql` stand for."""
+    return (f"(CAST({pieces['whole']} AS DOUBLE) + CAST({pieces['high']} AS DOUBLE) / {_PIECE}.0D "
+            f"+ CAST({pieces['low']} AS DOUBLE) / {float(_PIECE) ** 2!r}D + {pieces['far']})")
+
+
 def exact_avg_sql(c: str, floor_type: str = "BIGINT") -> str:
     """SQL text of an average that does not depend on the summation order.
 
@@ -114,17 +141,7 @@ def exact_avg_sql(c: str, floor_type: str = "BIGINT") -> str:
     precision from 1 up); the pieces are integers, so their sums are exact.
     Values of 1e15 and more, infinities and NaN are added as they are.
     """
-    x = f"CAST(`{c}` AS DOUBLE)"
-    near = f"abs({x}) < 1e15D"
-    piece = 1 << 26
-    rest = f"({x} - floor({x})) * {piece}.0D"
-    whole = f"sum(CASE WHEN {near} THEN CAST(floor({x}) AS {floor_type}) ELSE 0 END)"
-    high = f"sum(CASE WHEN {near} THEN CAST(floor({rest}) AS {floor_type}) ELSE 0 END)"
-    low = f"sum(CASE WHEN {near} THEN CAST(floor(({rest} - floor({rest})) * {piece}.0D) AS {floor_type}) ELSE 0 END)"
-    far = f"coalesce(sum(CASE WHEN NOT ({near}) THEN {x} END), 0.0D)"
-    total = (f"(CAST({whole} AS DOUBLE) + CAST({high} AS DOUBLE) / {piece}.0D "
-             f"+ CAST({low} AS DOUBLE) / {float(piece) ** 2!r}D + {far})")
-    return f"(CASE WHEN count(`{c}`) > 0 THEN {total} / count(`{c}`) END)"
+    return f"(CASE WHEN count(`{c}`) > 0 THEN {exact_total_sql(exact_sum_sql(c, floor_type))} / count(`{c}`) END)"
 
 
 def round_sql(expr: str, digits: int) -> str:

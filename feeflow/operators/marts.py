@@ -145,41 +145,49 @@ def round_outputs(df: DataFrame, spec: list, precision: int | None) -> DataFrame
 
 # -- alert classes (over the unrounded aggregates) ------------------------------
 
-def daily_alerts() -> list[Column]:
+# The measures are aggregates of rows, or columns that hold them already.
+
+def daily_alerts(high: Column | None = None, p99: Column | None = None) -> list[Column]:
+    high = _count_status(S.HIGH) if high is None else high
+    p99 = F.max("fee_p99") if p99 is None else p99
     return [
-        F.when(_count_status(S.HIGH) > S.DAILY_STRESS_HIGH_BLOCKS, F.lit(S.DAILY_STRESS_ALERT))
+        F.when(high > S.DAILY_STRESS_HIGH_BLOCKS, F.lit(S.DAILY_STRESS_ALERT))
         .otherwise(F.lit(S.NORMAL))
         .alias("daily_network_stress_alert"),
-        F.when(F.max("fee_p99") > S.DAILY_VOLATILITY_P99, F.lit(S.DAILY_VOLATILITY_ALERT))
+        F.when(p99 > S.DAILY_VOLATILITY_P99, F.lit(S.DAILY_VOLATILITY_ALERT))
         .otherwise(F.lit(S.STABLE))
         .alias("daily_fee_volatility_alert"),
     ]
 
 
-def hourly_alerts() -> list[Column]:
-    avg_med = F.expr(exact_avg_sql("median_fee"))
+def hourly_alerts(avg_med: Column | None = None, skewness: Column | None = None) -> list[Column]:
+    avg_med = F.expr(exact_avg_sql("median_fee")) if avg_med is None else avg_med
+    skewness = F.max("fee_skewness_ratio") if skewness is None else skewness
     return [
         F.when(avg_med > S.HOURLY_FEE_CRITICAL_ABOVE, F.lit(S.HOURLY_FEE_CRITICAL))
         .when(avg_med.between(S.HOURLY_FEE_WARNING_FROM, S.HOURLY_FEE_CRITICAL_ABOVE), F.lit(S.HOURLY_FEE_WARNING))
         .otherwise(F.lit(S.HEALTHY))
         .alias("hourly_fee_alert"),
-        F.when(F.max("fee_skewness_ratio") > S.HOURLY_SKEW_ABOVE, F.lit(S.HOURLY_SKEW_ALERT))
+        F.when(skewness > S.HOURLY_SKEW_ABOVE, F.lit(S.HOURLY_SKEW_ALERT))
         .otherwise(F.lit(S.STABLE))
         .alias("hourly_skewness_alert"),
     ]
 
 
-def minute_alerts() -> list[Column]:
-    p99 = F.max("fee_p99")
+def minute_alerts(p99: Column | None = None, skewness: Column | None = None,
+                  transactions: Column | None = None) -> list[Column]:
+    p99 = F.max("fee_p99") if p99 is None else p99
+    skewness = F.max("fee_skewness_ratio") if skewness is None else skewness
+    transactions = F.sum("number_of_transactions") if transactions is None else transactions
     return [
         F.when(p99 > S.MINUTE_SPIKE_CRITICAL_ABOVE, F.lit(S.MINUTE_SPIKE_CRITICAL))
         .when(p99 > S.MINUTE_SPIKE_WARNING_ABOVE, F.lit(S.MINUTE_SPIKE_WARNING))
         .otherwise(F.lit(S.NORMAL))
         .alias("fee_spike_alert"),
-        F.when(F.max("fee_skewness_ratio") > S.MINUTE_WHALE_ABOVE, F.lit(S.MINUTE_WHALE_ALERT))
+        F.when(skewness > S.MINUTE_WHALE_ABOVE, F.lit(S.MINUTE_WHALE_ALERT))
         .otherwise(F.lit(S.NORMAL))
         .alias("fee_skewness_alert"),
-        F.when(F.sum("number_of_transactions") > S.MINUTE_CONGESTION_TX_ABOVE, F.lit(S.MINUTE_CONGESTION_ALERT))
+        F.when(transactions > S.MINUTE_CONGESTION_TX_ABOVE, F.lit(S.MINUTE_CONGESTION_ALERT))
         .otherwise(F.lit(S.NORMAL))
         .alias("congestion_alert"),
     ]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +20,13 @@ from feeflow.functions.expressions import number_format, round_to, status_class_
 from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
+from feeflow.operators.quality import RuleFailure
 from feeflow.operators.features import intermediate
+from feeflow.operators.mart_state import period_from_state
 from feeflow.operators.marts import (
+    DAILY_AGGS,
+    HOURLY_AGGS,
+    MINUTE_AGGS,
     congestion_share,
     daily_slice,
     exec_kpis,
@@ -28,6 +34,7 @@ from feeflow.operators.marts import (
     mart_daily,
     mart_hourly,
     mart_minute,
+    round_outputs,
     rows_of_days,
     tx_velocity,
 )
@@ -42,7 +49,9 @@ from feeflow.operators.staging import (
 )
 from feeflow.sources import fixtures as X
 from feeflow.plans.jobs import ingest
+from feeflow.plans.refresh import mart, newest_rows, refresh
 from feeflow.session import materialize_shared, scratch_path
+from feeflow.sources.releases import Warehouse
 from feeflow.sources.sinks import (
     landing_json,
     load_mart,
@@ -344,6 +353,93 @@ def q_number_format(spark, sf):
         number_format("total_transactions", 0).alias("transactions_text"))
 
 
+# -- releases ----------------------------------------------------------------------------
+
+_REFRESHED: dict = {}
+
+
+def _refreshed(spark, sf):
+    """A warehouse after two runs, made once per application: messages are split
+    between the loads, and the second load's files hold days long before the
+    first run's newest."""
+    parsed = X.landed_parsed(spark, sf)
+    key = (spark.sparkContext.applicationId, *sorted(parsed.inputFiles()))
+    if key not in _REFRESHED:
+        root = scratch_path(spark, "warehouse")
+        from_21 = F.col("enqueued_time") >= F.lit("2026-09-21 00:00:00").cast("timestamp_ntz")
+        first = (F.col("block_index") == 0) | from_21
+        for load, rows in (("load=1", parsed.where(first)), ("load=2", parsed.where(~first))):
+            rows.write.parquet(f"{root}/landing/{load}")
+            refresh(spark, f"{root}/landing", f"{root}/tables")
+        _REFRESHED[key] = f"{root}/tables"
+    return Warehouse(spark, _REFRESHED[key])
+
+
+@query
+def q_mart_incremental(spark, sf):
+    """The daily mart after two incremental runs."""
+    return round_outputs(mart(_refreshed(spark, sf), "fct_daily"), DAILY_AGGS, DIGITS)
+
+
+@query
+def q_mart_incremental_hours(spark, sf):
+    return round_outputs(mart(_refreshed(spark, sf), "fct_hours"), HOURLY_AGGS, DIGITS)
+
+
+@query
+def q_mart_incremental_minutes(spark, sf):
+    return round_outputs(mart(_refreshed(spark, sf), "fct_minutes"), MINUTE_AGGS, DIGITS)
+
+
+@query
+def q_mart_weekly(spark, sf):
+    """The daily mart's measures per week, from the stored state alone."""
+    store = _refreshed(spark, sf)
+    return period_from_state(mart(store, "mart_state"), "week", precision=DIGITS, bucket="week_start")
+
+
+@query
+def q_late_load(spark, sf):
+    """Staging after a load whose files come late: all of their rows are in."""
+    return mart(_refreshed(spark, sf), "staging")
+
+
+@query
+def q_gate(spark, sf):
+    """Staging after a third load whose rows break a rule: as it was."""
+    store, landing = _refreshed(spark, sf), scratch_path(spark, "bad-load")
+    X.landed_parsed(spark, sf).withColumn("sequence_number", F.col("sequence_number") + 10**9).withColumn(
+        "fee_p10", F.col("fee_p99") + 1).write.parquet(landing)
+    try:
+        refresh(spark, landing, store.root)
+    except RuleFailure:
+        return mart(store, "staging")
+    raise AssertionError("rows with p10 above p99 were published")
+
+
+@query
+def q_atomic_replace(spark, sf):
+    """The hourly mart after a replacement that failed half-way."""
+    store = Warehouse(spark, scratch_path(spark, "atomic"))
+    hours = _hourly(spark, sf)
+    base = store.publish([store.prepare("fct_hours", hours)], store.release())
+    broken = hours.withColumn("total_blocks", F.when(
+        F.col("time_hour") < F.lit("2026-09-24 00:00:00").cast("timestamp_ntz"), F.col("total_blocks")).otherwise(
+        F.raise_error(F.lit("source lost")).cast("bigint")))
+    try:
+        store.publish([store.prepare("fct_hours", broken)], base)
+    except PySparkException:
+        return store.read("fct_hours")
+    raise AssertionError("a failing write was published")
+
+
+@query
+def q_newest_minutes(spark, sf):
+    """The newest 500 minute rows, from the newest day partitions on."""
+    store = _refreshed(spark, sf)
+    return round_outputs(newest_rows(store, "fct_minutes", 500), MINUTE_AGGS, DIGITS)
+
+
 # -- streams -----------------------------------------------------------------------------
 
 @query
@@ -361,6 +457,22 @@ def q_stream_minute(spark, sf):
     return spark.read.parquet(f"{root}/mart").drop("total_blocks")
 
 
+@query
+def q_stream_minute_exact(spark, sf):
+    """The minute mart of a replayed stream in append mode, distinct counts
+    included.  A later message moves the watermark past the last window."""
+    from feeflow.streaming import stream as ST
+
+    root = scratch_path(spark, "stream-exact")
+    cap = _capture(spark, sf)
+    cap.unionByName(cap).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    spark.createDataFrame([(-1, "9/30/2026 1:00:00 AM", b"{}")], S.CAPTURE).write.mode("append").parquet(
+        f"{root}/capture")
+    mart = ST.exact_stream_mart(ST.stream_intermediate(ST.stream_capture(spark, f"{root}/capture")), "minute", DIGITS)
+    ST.append_by_day(mart, f"{root}/mart", f"{root}/progress", "time_minute")
+    return spark.read.parquet(f"{root}/mart").drop("event_date")
+
+
 @query
 def q_stream_load(spark, sf):
     """Incremental load of two landings that overlap by a day and a half."""

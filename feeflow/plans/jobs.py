@@ -7,11 +7,13 @@
                 staging -> intermediate (written once) -> three marts written
                 as clustered tables -> declared tests
 * ``snapshot``  newest 500 rows of the hourly and minute marts
+* ``refresh``   landed parsed files -> ledger, staging, mart state and marts in
+                one release (:mod:`feeflow.plans.refresh`)
 
 Every step is a Spark job over whole inputs; the driver only sees the mark,
 the touched-day list and the test verdict rows.
 
-Usage: python -m feeflow.plans.jobs {ingest,models,snapshot} ...
+Usage: python -m feeflow.plans.jobs {ingest,models,snapshot,refresh} ...
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from feeflow.operators import parse as P
-from feeflow.operators.quality import run_declared_tests
+from feeflow.operators.quality import check_extra, run_declared_tests
 from feeflow.operators.staging import incremental_slice, stage, table_high_water_mark, upsert
 from feeflow.plans.model_run import run_models
+from feeflow.plans.refresh import refresh
 from feeflow.sources import sinks as K
 
 
@@ -55,9 +58,11 @@ def models(spark: SparkSession, parsed_path: str, staging_path: str, marts_root:
     """Incremental model run: only rows newer than the staging table's mark
     (minus a look-back the keyed upsert absorbs) are staged and merged; only
     their day partitions are opened.  The marts are rebuilt from the whole
-    staging table, as full-refresh tables.  The declared tests run first: a
-    failure raises, and the marts of the last good run stay.  Rows older than
-    the look-back that never reached staging are found by :func:`late_rows`."""
+    staging table, as full-refresh tables.  The declared tests and the extra
+    checks run first: a failure raises, and the marts of the last good run stay.
+    Rows older than the look-back that never reached staging are found by
+    :func:`late_rows`, at the price of a full pass; the ``refresh`` job loads by
+    file and has no late rows."""
     mark = table_high_water_mark(spark, staging_path)
     since = mark - dt.timedelta(seconds=lookback_seconds) if mark else None
     parsed = K.load_parsed(spark, parsed_path, since=since)
@@ -65,7 +70,8 @@ def models(spark: SparkSession, parsed_path: str, staging_path: str, marts_root:
     touched = upsert(spark, staging_path, stage(new_rows))
     staged = spark.read.parquet(staging_path).drop("event_date")
     run = run_models(staged)
-    failed = [r for r in run_declared_tests(run.intermediate).collect() if r.failures]
+    results = run_declared_tests(run.intermediate).unionByName(check_extra(run.intermediate)).collect()
+    failed = [r for r in results if r.failures]
     if failed:
         raise ValueError("declared tests failed, marts not replaced: " + ", ".join(
             f"{r.test}({r.column_name})={r.failures}" for r in failed))
@@ -73,7 +79,8 @@ def models(spark: SparkSession, parsed_path: str, staging_path: str, marts_root:
     hourly = K.materialize(run.hourly, os.path.join(marts_root, "fct_hours"),
                            cluster_by=["time_hour", "network_congestion_status"])
     minute = K.materialize(run.minute, os.path.join(marts_root, "fct_minutes"))
-    return ModelOutputs(daily, hourly, minute, run_declared_tests(run.intermediate), touched)
+    tests = spark.createDataFrame(results, "test string, column_name string, failures long")
+    return ModelOutputs(daily, hourly, minute, tests, touched)
 
 
 def late_rows(spark: SparkSession, parsed_path: str, staging_path: str) -> DataFrame:
@@ -107,6 +114,9 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("snapshot")
     c.add_argument("marts")
     c.add_argument("out")
+    d = sub.add_parser("refresh")
+    d.add_argument("landing")
+    d.add_argument("warehouse")
     args = ap.parse_args(argv)
     spark = get_spark()
     try:
@@ -116,7 +126,9 @@ def main(argv: list[str] | None = None) -> None:
             out = models(spark, args.parsed, args.staging, args.marts, args.lookback_seconds)
             for r in out.tests.collect():
                 print(f"{r.test:16s} {r.column_name:28s} failures={r.failures}")
-            print(f"late rows: {late_rows(spark, args.parsed, args.staging).count()}")
+        elif args.job == "refresh":
+            done = refresh(spark, args.landing, args.warehouse)
+            print(f"release {done.release.version}: {done.files} new files, {len(done.days)} days")
         else:
             snapshot(spark, args.marts, args.out)
     finally:

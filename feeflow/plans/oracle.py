@@ -366,7 +366,17 @@ ORACLE = {
         "FROM hourly"
     ),
     "q_stream_minute": q("SELECT * EXCLUDE (total_blocks) FROM capture_minute"),
+    "q_stream_minute_exact": q("SELECT * FROM capture_minute"),
     "q_stream_load": q("SELECT * FROM dedup"),
+    "q_mart_incremental": q("SELECT * FROM daily"),
+    "q_mart_incremental_hours": q("SELECT * FROM hourly"),
+    "q_mart_incremental_minutes": q("SELECT * FROM minute"),
+    "q_mart_weekly": q(", " + _mart("weekly", "week", "week_start", [x for x in DAILY_AGGS if x[1] != "median"],
+                                   False, DAILY_ALERTS) + " SELECT * FROM weekly"),
+    "q_late_load": q("SELECT * FROM dedup"),
+    "q_gate": q("SELECT * FROM dedup"),
+    "q_atomic_replace": q("SELECT * FROM hourly"),
+    "q_newest_minutes": q("SELECT * FROM minute ORDER BY time_minute DESC, network_congestion_status LIMIT 500"),
     "q_parsed_roundtrip": q("SELECT * FROM parsed"),
     "q_overwrite_shrink": q(
         "SELECT * FROM parsed WHERE enqueued_time >= TIMESTAMP '2026-09-18 00:00:00' "
