@@ -37,12 +37,12 @@ from feeflow.llm.bytehash import Rolling, mix, row_slices, text_buffer
 from feeflow.llm.common import small, stored, text_of
 
 K = 10
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 HASH_BYTES = 1 << 20
 BLOCK_POSTINGS = 128
 WINDOW = 1024            # documents scored at once
 ITEMS_A_TASK = 256
-LISTS_A_BATCH = 50_000
+LISTS_A_BATCH = 20_000
 
 # Fixed values of the scoring formula.
 SHARE_ONE, SHARE_TF, SHARE_M = 1_000_000_000, 1000, 8
