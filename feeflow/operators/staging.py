@@ -88,13 +88,17 @@ def incremental_slice(
     return src.where(F.col(col) > bound)
 
 
+def dedup_columns(columns: list[str]) -> list[str]:
+    """The value columns that break ties of a key, in order."""
+    values = ("block_index", "block_size", "total_fees", "median_fee", "block_vsize",
+              "number_of_transactions", *S.FEE_PERCENTILE_COLUMNS)
+    return [c for c in values if c in columns]
+
+
 def dedup_order(df: DataFrame, time_col: str = "enqueued_time") -> list:
     """Newest first, then lowest block position, then every value column: only
     rows equal in all of them tie, and those are interchangeable."""
-    values = ("block_index", "block_size", "total_fees", "median_fee", "block_vsize",
-              "number_of_transactions", *S.FEE_PERCENTILE_COLUMNS)
-    return [F.col(time_col).desc_nulls_last()] + [
-        F.col(c).asc_nulls_last() for c in values if c in df.columns]
+    return [F.col(time_col).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in dedup_columns(df.columns)]
 
 
 def latest_per_key(df: DataFrame, key: str = "mempool_id", order: list | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ stored parsed table of production runs).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -21,6 +22,7 @@ from feeflow.operators import parse as P
 from feeflow.operators import quality as Q
 from feeflow.operators import serving as V
 from feeflow.operators.quality import RuleFailure
+from feeflow.operators.schema_registry import register_landing
 from feeflow.operators.features import intermediate
 from feeflow.operators.mart_state import period_from_state
 from feeflow.operators.marts import (
@@ -51,6 +53,7 @@ from feeflow.sources import fixtures as X
 from feeflow.plans.jobs import ingest
 from feeflow.plans.refresh import mart, newest_rows, refresh
 from feeflow.session import materialize_shared, scratch_path
+from feeflow.sources.bucketed import upsert_bucketed, write_bucketed
 from feeflow.sources.releases import Warehouse
 from feeflow.sources.sinks import (
     landing_json,
@@ -59,7 +62,9 @@ from feeflow.sources.sinks import (
     materialize,
     read_capture,
     typed_load,
+    typed_load_variant,
     write_parsed,
+    write_variant_landing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +182,18 @@ def q_incremental_upsert(spark, sf):
     return merge_rows(first_load, batch, "mempool_id")
 
 
+@query
+def q_bucketed_upsert(spark, sf):
+    """The incremental upsert into a table bucketed and sorted by its key."""
+    st = _staging(spark, sf)
+    name = f"staging_{uuid.uuid4().hex}"
+    t = F.col("enqueued_time")
+    write_bucketed(st.where(t < F.lit("2026-09-21 12:00:00").cast("timestamp_ntz")), name,
+                   scratch_path(spark, "bucketed"), buckets=8)
+    upsert_bucketed(spark, name, st.where(t >= F.lit("2026-09-20 00:00:00").cast("timestamp_ntz")), buckets=8)
+    return spark.table(name).drop("event_date")
+
+
 @query
 def q_drop_duplicates(spark, sf):
     parsed = X.landed_parsed(spark, sf)
@@ -226,6 +243,14 @@ def q_typed_load(spark, sf):
     return typed_load(landing_json(X.landed_parsed(spark, sf)))
 
 
+@query
+def q_variant_load(spark, sf):
+    """The typed load from records stored as VARIANT."""
+    path = scratch_path(spark, "variant")
+    write_variant_landing(landing_json(X.landed_parsed(spark, sf)), path)
+    return typed_load_variant(spark.read.parquet(path))
+
+
 @query
 def q_time_parse(spark, sf):
     cap = _capture(spark, sf)
@@ -353,6 +378,27 @@ def q_number_format(spark, sf):
         number_format("total_transactions", 0).alias("transactions_text"))
 
 
+@query
+def q_schema_registry(spark, sf):
+    """Three landings: the messages as they are; with a further field and
+    timestamps with a fraction; with timestamps as text."""
+    store = Warehouse(spark, scratch_path(spark, "registry"))
+    cap = P.decode_body(_capture(spark, sf))
+    wider = F.regexp_replace(F.regexp_replace("body_str", r'"timestamp":(\d+)', r'"timestamp":$1.5'), r"^\{", '{"node":"n1",')
+    textual = F.regexp_replace("body_str", r'"timestamp":(\d+)', r'"timestamp":"$1"')
+    reports = None
+    for i, body in enumerate((F.col("body_str"), wider, textual)):
+        landing = cap.where(F.pmod("SequenceNumber", F.lit(3)) == i).withColumn("body_str", body)
+        _, bad, report = register_landing(store, landing)
+        # the quarantined messages as one more row
+        held = bad.agg(F.lit("").alias("payload_type"), F.lit("*").alias("field"), F.lit("quarantine").alias("kind"),
+                       F.lit(i + 1).alias("since_version"), F.lit("quarantined").alias("change"),
+                       F.lit(0).cast("bigint").alias("n_messages"), F.count(F.lit(1)).alias("n_conflicts"))
+        report = report.unionByName(held).select(F.lit(i + 1).alias("landing"), "*")
+        reports = report if reports is None else reports.unionByName(report)
+    return reports
+
+
 # -- releases ----------------------------------------------------------------------------
 
 _REFRESHED: dict = {}

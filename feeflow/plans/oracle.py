@@ -292,6 +292,35 @@ SELECT time_minute, fee_spike_alert, fee_skewness_alert, congestion_alert,
 FROM {_LATEST_M} m
 """
 
+# Fields of the three landings: the third message of each three has the
+# contradicting timestamp; kinds only widen, versions count the changes.
+_REGISTRY = """,
+landed AS (
+  SELECT CAST(1 + sequence_number % 3 AS INTEGER) AS landing, n_ok > 0 AS blocks,
+         CASE WHEN n_ok > 0 THEN 'mempool_blocks_event' ELSE 'stats_event' END AS payload_type
+  FROM messages
+),
+counted AS (SELECT landing, payload_type, blocks, count(*) AS n FROM landed GROUP BY ALL),
+field_names AS (
+  SELECT * FROM (VALUES ('payload_type', 1), ('timestamp', 1), ('data', 1), ('node', 2)) f(field, appears)
+)
+SELECT landing, payload_type, field,
+       CASE field WHEN 'payload_type' THEN 'string' WHEN 'node' THEN 'string'
+                  WHEN 'timestamp' THEN CASE WHEN landing = 1 THEN 'long' ELSE 'double' END
+                  ELSE CASE WHEN blocks THEN 'array' ELSE 'object' END END AS kind,
+       CAST(CASE WHEN field = 'node' OR (field = 'timestamp' AND landing > 1) THEN 2 ELSE 1 END AS INTEGER)
+         AS since_version,
+       CASE WHEN landing = appears THEN 'added'
+            WHEN field = 'timestamp' AND landing = 2 THEN 'widened'
+            WHEN field = 'node' THEN 'absent' ELSE 'same' END AS change,
+       CASE WHEN field = 'node' AND landing = 3 THEN 0 ELSE n END AS n_messages,
+       CASE WHEN field = 'timestamp' AND landing = 3 THEN n ELSE 0 END AS n_conflicts
+FROM counted, field_names WHERE landing >= appears
+UNION ALL
+SELECT l, '', '*', 'quarantine', l, 'quarantined', 0, (SELECT count(*) FROM landed WHERE landing = 3 AND l = 3)
+FROM (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS l)
+"""
+
 _PCT = [0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
 
 ORACLE = {
@@ -324,6 +353,7 @@ ORACLE = {
     ),
     "q_fee_pivot": q(f"SELECT sequence_number, enqueued_time, block_index, {', '.join(P)} FROM exploded"),
     "q_typed_load": q("SELECT * EXCLUDE (block_index) FROM parsed"),
+    "q_variant_load": q("SELECT * EXCLUDE (block_index) FROM parsed"),
     "q_time_parse": q(
         "SELECT sequence_number, strftime(enqueued_time, '%-m/%-d/%Y %-I:%M:%S %p') AS capture_text, "
         "enqueued_time FROM messages"
@@ -394,6 +424,8 @@ ORACLE = {
         "(SELECT max(enqueued_time) FROM staging WHERE enqueued_time < TIMESTAMP '2026-09-21 00:00:00')"
     ),
     "q_incremental_upsert": q("SELECT * FROM dedup"),
+    "q_bucketed_upsert": q("SELECT * FROM dedup"),
+    "q_schema_registry": q(_REGISTRY),
     "q_drop_duplicates": q("SELECT DISTINCT * FROM parsed"),
     "q_fill_defaults": q(
         "SELECT mempool_id, sequence_number, enqueued_time, coalesce(block_size, 0) AS block_size, "

@@ -11,7 +11,7 @@ import uuid
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feeflow import schemas as S
@@ -90,18 +90,14 @@ def landing_json(parsed: DataFrame) -> DataFrame:
     return parsed.select(F.to_json(rec).alias("value"))
 
 
-def typed_load(landing: DataFrame, text: str = "value") -> DataFrame:
-    """Landing records -> the 14 typed columns (``$1:f::TYPE`` per field).
-
-    Each field is read from a VARIANT with ``try_variant_get``, so a value
-    of the wrong type becomes NULL instead of failing the load.
-    """
-    v = F.try_parse_json(F.col(text))
-
+def typed_paths(v: Column) -> list[Column]:
+    """The 14 typed columns of a landing record held as VARIANT (``$1:f::TYPE``
+    per field).  ``try_variant_get``: a value of the wrong type becomes NULL
+    instead of failing the load."""
     def get(name, typ):
         return F.try_variant_get(v, f"$.{name}", typ)
 
-    return landing.select(
+    return [
         get("sequence_number", "bigint").alias("sequence_number"),
         parse_event_time(get("enqueued_time", "string")).alias("enqueued_time"),
         get("block_size", "bigint").alias("block_size"),
@@ -110,7 +106,30 @@ def typed_load(landing: DataFrame, text: str = "value") -> DataFrame:
         get("n_tx", "int").alias("n_tx"),
         get("total_fees", "bigint").alias("total_fees"),
         *[get(c, "double").alias(c) for c in S.FEE_PERCENTILE_COLUMNS],
-    )
+    ]
+
+
+def typed_load(landing: DataFrame, text: str = "value") -> DataFrame:
+    """Landing records as JSON text -> the 14 typed columns."""
+    return landing.select(*typed_paths(F.try_parse_json(F.col(text))))
+
+
+def variant_landing(landing: DataFrame, text: str = "value") -> DataFrame:
+    """Landing records as one VARIANT column ``record`` (NULL where the text is
+    not JSON): parsed once, when they land."""
+    return landing.select(F.try_parse_json(F.col(text)).alias("record"))
+
+
+def write_variant_landing(landing: DataFrame, path: str, text: str = "value") -> None:
+    """Append landing records to a Parquet table with a VARIANT column.  Spark
+    shreds it: fields that most records share become typed Parquet columns."""
+    variant_landing(landing, text).write.mode("append").parquet(path)
+
+
+def typed_load_variant(records: DataFrame, column: str = "record") -> DataFrame:
+    """Stored VARIANT records -> the 14 typed columns.  The paths reach the scan,
+    which reads the shredded columns of these fields and no JSON text."""
+    return records.select(*typed_paths(F.col(column)))
 
 
 def typed_columns(df: DataFrame) -> DataFrame:
