@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 
 from feeflow.llm.bytehash import row_slices, text_buffer
 from feeflow.llm.common import stored, text_of
-from feeflow.llm.tokens import encoder
+from feeflow.llm.tokens import block_encoder
 
 WINDOW = 1024
 UNIT = 16
 DEPTH = 3
 END_ID = 0
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 MAX_BROADCAST_OFFSETS = 200_000  # rows of 28 bytes; beyond it the join shuffles
 
 
@@ -172,14 +172,14 @@ ENCODED = ("doc_id long, part int, doc_tokens long, full_before long, class int,
 
 def _encoded(path: str, end_id: int, window: int, unit: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = encoder(path), TaskContext.get().partitionId()
-        tail = np.array([end_id], dtype="<u4").tobytes()
+        tokens, part = block_encoder(path), TaskContext.get().partitionId()
         full, crumbs, ranks = 0, 0, np.zeros(window // unit + 1, dtype=np.int64)
         for batch in batches:
-            texts = batch.column("text")
-            for a, b in row_slices(text_buffer(texts)[1], BLOCK):
-                ids = [x + tail for x in tokens.encode(texts.slice(a, b - a).to_pylist())]
-                n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            data, offsets = text_buffer(batch.column("text"))
+            for a, b in row_slices(offsets, BLOCK):
+                values, n = tokens.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], end_id)
+                ends = np.concatenate([[0], 4 * np.cumsum(n)]).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(values)])
                 whole, kind = n // window, n % window // unit
                 rank = np.empty(len(n), dtype=np.int64)
                 for i, c in enumerate(kind.tolist()):
@@ -191,7 +191,7 @@ def _encoded(path: str, end_id: int, window: int, unit: int):
                      pa.array(np.full(b - a, part, dtype=np.int32)), pa.array(n),
                      pa.array(full + np.cumsum(whole) - whole), pa.array(kind.astype(np.int32)),
                      pa.array(rank), pa.array(crumbs + np.cumsum(loose) - loose),
-                     pa.array(ids, pa.binary())],
+                     ids],
                     names=["doc_id", "part", "doc_tokens", "full_before", "class", "class_rank",
                            "crumbs_before", "ids"])
                 full, crumbs = full + int(whole.sum()), crumbs + int(loose.sum())

@@ -43,7 +43,6 @@ from feeflow.llm.tokens import Encoder
 
 BLOCK = 1 << 19                    # bytes of text aligned at once, one text at least
 MOST_BROADCAST_PAIRS = 2_000_000   # 13 bytes each
-WORDS_KEPT = 50_000                # words whose ids help with new pieces (word and marks)
 B_BITS = 16                        # a pair is one number: A id, then B id in so many bits
 
 
@@ -55,18 +54,6 @@ class PlainEncoder(Encoder):
         self.tokenizer.encode_special_tokens = True
         self.special = []
 
-    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        if self.cuts:
-            self._learn(set(texts))
-            found = [self.known[t] for t in texts]
-            if len(self.known) > WORDS_KEPT:   # PieceIds remembers the pieces
-                self.known = {}
-        else:
-            found = self.encode(texts)
-        return (np.frombuffer(b"".join(found), dtype="<i4"),
-                np.fromiter((len(x) >> 2 for x in found), np.int64, len(found)))
-
     def token_bytes(self) -> list[bytes]:
         byte = {c: b for b, c in self.alphabet.items()}
         size = self.tokenizer.get_vocab_size()

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from feeflow.llm.bytehash import row_slices, text_buffer
 from feeflow.llm.common import row_key, stored, text_of
-from feeflow.llm.tokens import encoder
+from feeflow.llm.tokens import block_encoder
 from feeflow.session import scratch_path
 
 END_ID = 2
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
@@ -41,14 +41,12 @@ OPTIONS = {
 
 def _encoded(path: str, end_id: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, shard, row = encoder(path), TaskContext.get().partitionId(), 0
-        tail = np.array([end_id], dtype="<u4").tobytes()
+        tokens, shard, row = block_encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column("text")
-            for a, b in row_slices(text_buffer(texts)[1], BLOCK):
-                ids = [x + tail for x in tokens.encode(texts.slice(a, b - a).to_pylist())]
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-                values = np.frombuffer(b"".join(ids), dtype="<i4")
+            data, offsets = text_buffer(batch.column("text"))
+            for a, b in row_slices(offsets, BLOCK):
+                values, count = tokens.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a], end_id)
+                ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a),
                      pa.array(np.full(b - a, shard, dtype=np.int32)),

@@ -16,12 +16,18 @@ import os
 import re
 import struct
 
+import numpy as np
+
+from feeflow.llm.piece_ids import PieceIds, cut, led_by_blank, piece_names
+
 _RUN = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _SIDE_MARKS = ".,"
 _CACHE_PIECES = 300_000   # in each of two generations
 _PLAIN = "\u0250"         # letters below this are letters in every Unicode version
 
+WORDS_KEPT = 50_000       # words whose ids help with new pieces (word and marks)
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -123,3 +129,79 @@ class Encoder:
         return [b"".join(map(get, pieces)) if pieces is not None else
                 _packed(self.tokenizer.encode(t, add_special_tokens=False).ids)
                 for t, pieces in zip(texts, cut, strict=True)]
+
+    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some pieces that were cut where a pre-tokenizer cuts, and
+        the number of each piece's."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        if self.cuts:
+            self._learn(set(texts))
+            found = [self.known[t] for t in texts]
+            if len(self.known) > WORDS_KEPT:   # PieceIds remembers the pieces
+                self.known = {}
+        else:
+            found = self.encode(texts)
+        return (np.frombuffer(b"".join(found), dtype="<i4"),
+                np.fromiter((len(x) >> 2 for x in found), np.int64, len(found)))
+
+
+class BlockEncoder:
+    """Ids of whole blocks of texts: the ids that ``Encoder`` gives, text by
+    text, with numpy look-ups of the pieces (:mod:`feeflow.llm.piece_ids`)."""
+
+    def __init__(self, path: str):
+        self.encoder = Encoder(path)
+        self.special = [t.encode() for t in self.encoder.special]
+        self.pieces = PieceIds(self.encoder.ids)
+
+    def _whole(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Texts to be encoded whole: all, if the tokenizer is of another kind;
+        else those that hold a special token's string."""
+        if not self.encoder.cuts:
+            return np.arange(len(offsets) - 1)
+        places = []
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                places.append(at)
+                at = raw.find(token, at + 1)
+        # a string that begins in one text and ends in the next is encoded whole needlessly
+        return np.unique(np.searchsorted(offsets, np.array(places, dtype=np.int64), side="right") - 1)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by ``end_id``; ids per text)."""
+        n = len(offsets) - 1
+        raw = data.tobytes()
+        whole = self._whole(raw, offsets)
+        led, bounds = led_by_blank(data, offsets)
+        starts, ends = cut(led, bounds)
+        row = np.searchsorted(bounds, starts, side="right") - 1
+        starts = starts + (starts == bounds[row])      # without the blank before the text
+        keep = (ends > starts) & ~np.isin(row, whole)
+        starts, ends, row = starts[keep], ends[keep], row[keep]
+        flat, per_piece = self.pieces.lookup(led.tobytes(), piece_names(led, starts, ends), starts, ends)
+        count = np.bincount(row, weights=per_piece, minlength=n).astype(np.int64)
+        if len(whole):
+            at = np.concatenate([[0], np.cumsum(count)])
+            parts = [flat[at[i]: at[i + 1]] for i in range(n)]
+            for i in whole.tolist():
+                text = raw[offsets[i]: offsets[i + 1]].decode("utf-8", "replace")
+                parts[i] = np.array(self.encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+                count[i] = len(parts[i])
+            flat = np.concatenate(parts)
+        count += 1
+        out = np.empty(int(count.sum()), dtype="<i4")
+        last = np.zeros(len(out), dtype=bool)
+        last[np.cumsum(count) - 1] = True
+        out[last], out[~last] = end_id, flat
+        return out, count
+
+
+_BLOCKS: dict[str, BlockEncoder] = {}
+
+
+def block_encoder(path: str) -> BlockEncoder:
+    """One block encoder per worker process and vocabulary file."""
+    if path not in _BLOCKS:
+        _BLOCKS[path] = BlockEncoder(path)
+    return _BLOCKS[path]

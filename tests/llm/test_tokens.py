@@ -5,12 +5,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import documents, odd_rows, prose
 
 from feeflow.llm import packing, token_orc
 from feeflow.llm.catalog import tokenizer_path
-from feeflow.llm.tokens import encoder
+from feeflow.llm.bytehash import text_buffer
+from feeflow.llm.tokens import block_encoder, encoder
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +35,19 @@ def test_pieces_encode_like_whole_texts(path):
         assert raw == np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_blocks_encode_like_whole_texts(path):
+    rnd = random.Random(9)
+    parts = ["a", "B", "é", ".", ",", "'s", "!", "7", " ", "  ", "\n", "\n\n", "\t", "日", "\xa0", "\x1c", "\x85", " the",
+             " don", "<|endoftext|>", "<|endo", "ftext|>", "\0", "'", "ﬁ", "😀", "\u3000", "▁", " Ñandú,", "word" * 20]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 3, 10, 40]))) for _ in range(4000)]
+    e = block_encoder(path)
+    values, count = e.encode(*text_buffer(pa.array(texts)), 7)
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert values[a:b].tolist() == [*e.encoder.tokenizer.encode(text, add_special_tokens=False).ids, 7], repr(text)
+    assert e.encode(*text_buffer(pa.array([], pa.string())), 7)[0].tolist() == []
+
+
 def _rows():
     rnd = random.Random(6)
     return odd_rows(rnd) + [(100 + i, prose(rnd, rnd.randint(1, 500))) for i in range(120)]
