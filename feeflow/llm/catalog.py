@@ -27,7 +27,10 @@ def piece_model_path() -> str:
 
 
 def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    """Shards of both sizes in use: files of 16 MB, and parts of 64 KB."""
+    documents = table(spark, sf_dir, "documents")
+    found = [sharding.shard(documents, size).withColumn("max_bytes", F.lit(size)) for size in SHARD_SIZES]
+    return found[0].unionByName(found[1])
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +95,8 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
 
 
+SHARD_SIZES = (sharding.MAX_BYTES, 64 << 10)
+
 QUERIES = {
     "op1_extendible_shards": op1_extendible_shards,
     "op2_license_scan": op2_license_scan,
@@ -109,7 +114,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op1_extendible_shards": sharding.ORACLE,
+    "op1_extendible_shards": " UNION ALL ".join(
+        f"SELECT *, CAST({size} AS INTEGER) AS max_bytes FROM ({sharding.oracle(size)}) s" for size in SHARD_SIZES),
     "op2_license_scan": licenses.ORACLE,
     "op5_line_spread": line_spread.ORACLE,
     "op12_block_max_search": lexical_search.ORACLE,

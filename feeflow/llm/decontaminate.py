@@ -4,7 +4,10 @@ Texts and test items are compared as words (lower case, letters and digits).
 An item of n words may differ by e = n // 5 edits: whatever passage lies within
 e edits of it contains at least one of the item's e + 1 pieces unchanged.  So
 each item is split into e + 1 pieces, exact hits of pieces are looked up, and
-the words around each hit are verified with Myers' bit-parallel distance.
+the words around each hit are verified with Myers' bit-parallel distance.  Items under
+five words have no edits to spare and one piece: they are found word for word.
+Scripts that are written without blanks (Chinese, Japanese, Thai and the like)
+are compared character by character: each character is a word.
 
 The documents are scanned once per block of items; a block (its pieces and
 words) is broadcast and bounded in items and words, so a larger benchmark means
@@ -27,7 +30,8 @@ from feeflow.llm.bytehash import Rolling, mix, row_slices, text_buffer
 from feeflow.llm.common import packed, text_of
 
 SIMILARITY_PARTS = 5      # one edit allowed per five words: similarity 0.8
-MIN_ITEM_WORDS = 5        # shorter items name no passage
+# Scripts without blanks between words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 2_000_000
 BLOCK = 1 << 20
@@ -35,8 +39,10 @@ _TABLE_BITS = 22
 
 
 def words_of(column: Column) -> Column:
-    """Words separated by one blank: lower case, letters and digits only."""
-    return F.trim(F.regexp_replace(F.lower(column), r"[^\p{L}\p{N}]+", " "))
+    """Words separated by one blank: lower case, letters and digits only; a
+    character of an unspaced script is a word."""
+    apart = F.regexp_replace(F.lower(column), UNSPACED, " $0 ")
+    return F.trim(F.regexp_replace(apart, r"[^\p{L}\p{N}]+", " "))
 
 
 def pieces_of(n_words: int, parts: int = SIMILARITY_PARTS) -> list[tuple[int, int]]:
@@ -173,8 +179,6 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     block, n_words = [], 0
     for r in rows.toLocalIterator():
         count = r["words"].count(" ") + 1
-        if count < MIN_ITEM_WORDS:
-            continue
         if block and (len(block) >= BLOCK_ITEMS or n_words + count > BLOCK_WORDS):
             yield block
             block, n_words = [], 0
@@ -214,9 +218,10 @@ def matches(documents: DataFrame, benchmark: DataFrame,
     and the passage's place (first_word, n_words; its start is that of an
     equally long passage with the same end).
 
-    Null and empty texts match nothing; items under ``MIN_ITEM_WORDS`` words
-    are not looked for; repeated items and rows each have their own matches;
-    an empty table on either side gives no rows.
+    Null and empty texts, and items without a letter or digit, match nothing;
+    items under five words match word for word; of equal distances the first in
+    the text is given; long texts are read whole; repeated items and rows each
+    have their own matches; an empty table on either side gives no rows.
     """
     spark = documents.sparkSession
     rows = documents.select("doc_id", words_of(text_of()).alias("words"))

@@ -214,14 +214,15 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality",
 
     The sample is the rows with the least hash of the id, the same at every
     run.  A repeated label counts by its largest value, null labels and ids not
-    at all; of documents with one id, one is used.  Without rows the machine
-    scores every text 0.5.
+    at all; of documents with one id, the one whose text has the least hash is
+    used.  Without rows the machine scores every text 0.5.
     """
     sample = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
         .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("double").alias("label")) \
         .orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(max_rows)
-    rows = documents.select(*_inputs(documents)).join(
-        F.broadcast(sample), F.col("doc_id") == F.col("id")).dropDuplicates(["id"])
+    rows = documents.select(*_inputs(documents)).join(F.broadcast(sample), F.col("doc_id") == F.col("id")) \
+        .groupBy("id").agg(F.min_by(F.struct("label", "text", "n_chars"), F.struct(F.xxhash64("text"), "text")).alias("r")) \
+        .select("r.*").orderBy(F.xxhash64(F.lit(3), "text"), "text")
     table = rows.select("label", "text", "n_chars").mapInArrow(
         _described, "label double, words array<int>, statistics array<double>").toArrow()
     y = table.column("label").to_numpy()

@@ -10,9 +10,10 @@ partial sums per prefix; the directory stays a table, joined on (depth,
 prefix), because it grows with the data.
 
 The hash covers the id and the text, so rows that share one id spread.  Equal
-rows share it too; their last bits come from their place in the scan, so a
-third of all rows being one row still splits.  One row over the limit is a
-shard of its own.
+rows share it too; the bits after it are the row's number in the table, lowest
+bit first, which no two rows share: a third of all rows being one row still
+splits evenly, down to single rows.  One row over the limit is a shard of its
+own.
 """
 
 from __future__ import annotations
@@ -21,21 +22,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from feeflow.llm.common import stored, text_of
+from feeflow.llm.common import small, stored, text_of
 
 MAX_BYTES = 16 << 20
-HASH_BITS = 40       # from the row's content
-PLACE_BITS = 20      # from its place, for equal rows
+HASH_BITS = 28       # from the row's content
+PLACE_BITS = 34      # the row's number
 BITS = HASH_BITS + PLACE_BITS
+_SCAN_BITS = 33      # of monotonically_increasing_id, for the row inside its scan partition
 
 
 def row_hash() -> Column:
-    """60 bits: 40 of the md5 of id and text, 20 of the row's place."""
+    """28 bits of the md5 of id and text."""
     identity = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
                         F.md5(text_of()))
-    content = F.conv(F.substring(F.md5(identity), 1, HASH_BITS // 4), 16, 10).cast("long")
-    place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND((1 << PLACE_BITS) - 1)
-    return F.shiftleft(content, PLACE_BITS) + place
+    return F.conv(F.substring(F.md5(identity), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def hashed_rows(documents: DataFrame) -> DataFrame:
+    """Stored (doc_id, hash, bytes): 62 bits, the last 34 different for every
+    row.  A row's number is its scan partition's offset (one small row a
+    partition) plus its place there."""
+    rows = stored(documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("content"),
+        F.monotonically_increasing_id().alias("at"),
+        F.octet_length(text_of()).cast("long").alias("bytes")), "rows")
+    part = F.shiftright("at", _SCAN_BITS).alias("part")
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stored(sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")), "offsets")
+    number = F.col("offset") + F.col("at").bitwiseAND((1 << _SCAN_BITS) - 1)
+    place = F.conv(F.reverse(F.lpad(F.bin(number), PLACE_BITS, "0")), 2, 10).cast("long")
+    return stored(rows.withColumn("part", part).join(small(offsets), "part").select(
+        "doc_id", (F.shiftleft("content", PLACE_BITS) + place).alias("hash"), "bytes"), "hashed-rows")
 
 
 def _prefix(hash_column: str, depth: int) -> Column:
@@ -85,9 +103,7 @@ def shard(documents: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     n_bytes is the UTF-8 size of the text (null: 0).  Every shard holds at
     most ``max_bytes``, or a single row.  An empty table gives an empty table.
     """
-    rows = stored(documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("hash"),
-        F.octet_length(text_of()).cast("long").alias("bytes")), "hashed-rows")
+    rows = hashed_rows(documents)
     entries = stored(directory(rows.select("hash", "bytes"), max_bytes), "directory")
     depths = [r.depth for r in entries.select("depth").distinct().collect()]  # BITS + 1 at most
     # a row looks up its prefix at each depth in use; exactly one is an entry
@@ -101,8 +117,9 @@ def shard(documents: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
                         "shard_bytes", "shard_rows")
 
 
-#: The same directory for DuckDB, one bit at a time.
-ORACLE = f"""
+def oracle(max_bytes: int) -> str:
+    """The same directory for DuckDB, one bit at a time."""
+    return f"""
 WITH RECURSIVE hashed AS (
   SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
          ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':'
@@ -117,11 +134,11 @@ WITH RECURSIVE hashed AS (
   UNION ALL
   SELECT s.depth, s.prefix, s.shard_bytes, s.shard_rows
   FROM walk w JOIN sizes s ON s.depth = w.depth + 1 AND s.prefix >> 1 = w.prefix
-  WHERE w.shard_bytes > {MAX_BYTES} AND w.shard_rows > 1
+  WHERE w.shard_bytes > {max_bytes} AND w.shard_rows > 1
 )
 SELECT h.doc_id, h.n_bytes, CAST(w.depth AS INTEGER) AS depth,
        CASE WHEN w.depth = 0 THEN '' ELSE right(lpad(bin(w.prefix), 64, '0'), CAST(w.depth AS INTEGER)) END AS shard,
        w.shard_bytes, w.shard_rows
 FROM hashed h JOIN walk w ON h.h >> ({HASH_BITS} - w.depth) = w.prefix
-WHERE NOT (w.shard_bytes > {MAX_BYTES} AND w.shard_rows > 1)
+WHERE NOT (w.shard_bytes > {max_bytes} AND w.shard_rows > 1)
 """

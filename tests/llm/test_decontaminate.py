@@ -54,11 +54,11 @@ def test_matches_and_drop_on_odd_tables(spark, monkeypatch, block_items):
     tests = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "x"), (1, item), (None, prose(rnd, 12, 5000)),
                                    (6, prose(rnd, 8, 5000))], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.distance, r.n_words) for r in C.matches(df, tests).collect())
-    assert got == [(50, 1, 0, 30)] * 4
+    assert got == [(5, 4, 0, 1), *[(50, 1, 0, 30)] * 4]   # item 4 is one word: found word for word
     kept = C.drop_contaminated(df, tests)
     assert kept.columns == df.columns
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(
-        (tuple(r) for r in df.where("doc_id is null or doc_id <> 50").collect()), key=str)
+        (tuple(r) for r in df.where("doc_id is null or doc_id not in (5, 50)").collect()), key=str)
     assert C.matches(documents(spark, []), tests).count() == 0
     assert C.matches(df, tests.limit(0)).count() == 0 and C.drop_contaminated(df, tests.limit(0)).count() == df.count()
 
@@ -68,3 +68,16 @@ def test_pieces_cover_the_item_and_exceed_the_budget():
         pieces = C.pieces_of(n)
         assert len(pieces) == n // 5 + 1 and sum(size for _, size in pieces) == n
         assert all(size > 0 for _, size in pieces)
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    chinese = "今天天气很好我们一起去公园散步然后喝茶聊天吧朋友"   # 24 characters
+    thai = "สวัสดีครับวันนี้อากาศดีมาก"
+    other = "昨天下雨所以大家都留在家里看书做饭听音乐休息"
+    edited = chinese[:5] + "坏" + chinese[6:15] + chinese[16:]    # one replaced, one missing
+    docs = [(1, f"x y z alpha Beta, gamma delta! more"), (2, "alpha beta gamma"), (3, f"{other}。{chinese}！{other}"),
+            (4, other + edited), (5, f"abc {thai} def"), (6, other), (7, "alpha beta beta gamma delta")]
+    items = [(10, "alpha beta gamma delta"), (11, chinese), (12, thai), (13, "?!"), (14, "gamma")]
+    found = {(r.doc_id, r.item_id): r.distance for r in C.matches(
+        documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(1, 10): 0, (3, 11): 0, (4, 11): 2, (5, 12): 0, (1, 14): 0, (2, 14): 0, (7, 14): 0}

@@ -109,3 +109,12 @@ def test_licences_of_odd_tables(spark):
     df = licenses.document_files(documents(spark, rows))
     assert licenses.scan(df).count() == len(rows)
     assert licenses.scan(licenses.document_files(documents(spark, []))).count() == 0
+
+
+def test_thousands_of_equal_rows_split_to_single_rows(spark):
+    rows = [(7, "x" * 100)] * 3000 + [(i, "y" * 50) for i in range(40)]
+    got = sharding.shard(documents(spark, rows, clashing=False).repartition(5), 120).collect()
+    shards = {}
+    for r in got:
+        shards.setdefault(r.shard, []).append(r.n_bytes)
+    assert len(got) == len(rows) and all(sum(s) <= 120 for s in shards.values())

@@ -67,3 +67,40 @@ def test_features_of_one_text_do_not_depend_on_its_neighbours():
     alone = M.features(*text_buffer(pa.array(texts[3:])), n[3:])
     assert words[bounds[3]:bounds[4]].tolist() == alone[1].tolist()
     assert np.allclose(statistics[3], alone[2][0]) and np.allclose(statistics[0], statistics[3])
+
+
+def test_gradients_equal_finite_differences(monkeypatch):
+    """One step from zero learning memory moves along the gradient."""
+    rnd = np.random.default_rng(5)
+    size, width, rank = (1 << M.WORD_BITS) + 2, 2, 3
+    bounds, words = np.array([0, 3, 3, 7]), rnd.choice(1 << M.WORD_BITS, 7, replace=False)
+    labels, statistics = np.array([1.0, 0.0, 1.0]), rnd.normal(size=(3, width))
+    monkeypatch.setattr(M, "PENALTY", 0.0)
+    monkeypatch.setattr(M, "RATE", 1e-6)
+    before = M.fit(bounds, words, statistics, labels, rank=rank, epochs=0)
+    after = M.fit(bounds, words, statistics, labels, rank=rank, epochs=1)
+
+    def loss(machine):
+        p = machine.score(bounds, words, statistics)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    for part in ("weight", "factor"):
+        moved = getattr(after, part) - getattr(before, part)
+        for at in [tuple(x) for x in np.argwhere(np.abs(moved) > 0)[:: 3]]:
+            array = getattr(before, part)
+            old, h = array[at], 1e-5
+            array[at] = old + h
+            up = loss(before)
+            array[at] = old - h
+            down = loss(before)
+            array[at] = old
+            slope = (up - down) / (2 * h)
+            # Adagrad: step = -rate * slope / sqrt(0.01 + slope^2)
+            assert np.isclose(moved[at], -1e-6 * slope / np.sqrt(0.01 + slope ** 2), rtol=1e-2, atol=1e-12)
+
+
+def test_repeated_ids_are_fitted_alike(spark):
+    rows = [(i % 5, f"text {i} " * (i + 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(5)], "doc_id long, quality int, toxic int")
+    machines = [M.train(documents(spark, rows, clashing=False).repartition(n), labels) for n in (1, 7)]
+    assert np.array_equal(machines[0].weight, machines[1].weight)
