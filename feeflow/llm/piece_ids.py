@@ -18,7 +18,7 @@ import numpy as np
 from feeflow.llm.bytehash import Rolling, mix
 
 LONGEST = 64
-MOST_PIECES = 500_000     # remembered per worker and tokenizer; beyond it all are forgotten
+MOST_PIECES = 500_000     # remembered; beyond it all are forgotten
 
 # A character that starts with one of these bytes is not white space; lead
 # bytes of blocks that hold some white space count as unsafe.
@@ -28,6 +28,10 @@ _SAFE[0xC3:0xE1] = True
 _SAFE[0xE4:0xF5] = True
 _GRAPHIC = np.zeros(256, dtype=bool)
 _GRAPHIC[0x21:0x7F] = True
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[list(b".,!?;:")] = True
 _BLANK, _BREAK, _MARK_END = 0x20, 0x0A, 0x81   # 0x81 ends U+2581, SentencePiece's blank
 
 
@@ -37,8 +41,12 @@ def led_by_blank(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             offsets + np.arange(len(offsets)))
 
 
-def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte ranges of the pieces of texts that each begin with a blank."""
+def cut(data: np.ndarray, offsets: np.ndarray, at_marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the pieces of texts that each begin with a blank.
+
+    ``at_marks`` also cuts between an ASCII letter and a mark after it, which a
+    byte-level pre-tokenizer never joins (a SentencePiece model may): a word has
+    one name whatever follows it."""
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     before = np.concatenate([[np.uint8(_BLANK)], data[:-1]])
@@ -47,6 +55,8 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     breaks = np.flatnonzero((data == _BREAK) & _GRAPHIC[before] & _SAFE[after])
     first[breaks] = True
     first[breaks + 1] = True
+    if at_marks:
+        first |= _MARKS[data] & _ASCII_LETTER[before]
     first[offsets[:-1]] = True
     starts = np.flatnonzero(first)
     return starts, np.append(starts[1:], len(data))
@@ -56,8 +66,8 @@ class PieceIds:
     """Ids of pieces, remembered by name.  ``encode`` takes pieces as bytes and
     gives all their ids and the number of each piece's."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = MOST_PIECES):
+        self.encode, self.most = encode, most
         self.forget()
 
     def forget(self) -> None:
@@ -79,7 +89,7 @@ class PieceIds:
                ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per piece) of the pieces in order; ``raw`` holds them."""
         distinct, at, which = np.unique(names, return_index=True, return_inverse=True)
-        if len(self.names) + len(distinct) > MOST_PIECES:
+        if len(self.names) + len(distinct) > self.most:
             self.forget()
         place = np.searchsorted(self.names, distinct)
         new = np.ones(len(distinct), dtype=bool)

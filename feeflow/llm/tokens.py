@@ -26,6 +26,7 @@ _SIDE_MARKS = ".,"
 _CACHE_PIECES = 300_000   # in each of two generations
 _PLAIN = "\u0250"         # letters below this are letters in every Unicode version
 
+PIECES_KEPT = 1_500_000   # of a block encoder, about 40 bytes each
 WORDS_KEPT = 50_000       # words whose ids help with new pieces (word and marks)
 
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -152,7 +153,7 @@ class BlockEncoder:
     def __init__(self, path: str):
         self.encoder = Encoder(path)
         self.special = [t.encode() for t in self.encoder.special]
-        self.pieces = PieceIds(self.encoder.ids)
+        self.pieces = PieceIds(self.encoder.ids, PIECES_KEPT)
 
     def _whole(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
         """Texts to be encoded whole: all, if the tokenizer is of another kind;
@@ -174,7 +175,7 @@ class BlockEncoder:
         raw = data.tobytes()
         whole = self._whole(raw, offsets)
         led, bounds = led_by_blank(data, offsets)
-        starts, ends = cut(led, bounds)
+        starts, ends = cut(led, bounds, at_marks=True)
         row = np.searchsorted(bounds, starts, side="right") - 1
         starts = starts + (starts == bounds[row])      # without the blank before the text
         keep = (ends > starts) & ~np.isin(row, whole)
