@@ -56,13 +56,17 @@ from feeflow.session import materialize_shared, scratch_path
 from feeflow.sources.bucketed import upsert_bucketed, write_bucketed
 from feeflow.sources.releases import Warehouse
 from feeflow.sources.sinks import (
+    landing_inventory,
     landing_json,
     load_mart,
     load_parsed,
     materialize,
+    read_bronze,
     read_capture,
+    register_sources,
     typed_load,
     typed_load_variant,
+    write_bronze,
     write_parsed,
     write_variant_landing,
 )
@@ -345,6 +349,40 @@ def q_capture_scan(spark, sf):
         F.col("PartitionId").alias("partition_id"))
 
 
+@query
+def q_bronze(spark, sf):
+    """The capture copied as it is, and read back."""
+    path = scratch_path(spark, "bronze")
+    write_bronze(_capture(spark, sf), path)
+    return read_bronze(spark, path).select(
+        F.col("SequenceNumber").alias("sequence_number"), F.col("EnqueuedTimeUtc").alias("capture_text"),
+        F.get_json_object(F.col("Body").cast("string"), "$.payload_type").alias("payload_type"))
+
+
+@query
+def q_landing_inventory(spark, sf):
+    """Landed files by folder, one file per status, and the rows in them."""
+    root = scratch_path(spark, "inventory")
+    rows = _inter(spark, sf)
+    for i, label in enumerate(S.CONGESTION_LABELS):
+        rows.where(F.col("network_congestion_status") == label).coalesce(1).write.parquet(f"{root}/status={i}")
+    files = landing_inventory(spark, root, "*.parquet")
+    folder = F.regexp_extract("path", r"status=(\d)", 1)
+    held = spark.read.parquet(root).groupBy(F.col("status").cast("string").alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return files.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("length") > 0).alias("n_filled")).join(held, "folder")
+
+
+@query
+def q_source_names(spark, sf):
+    """A query over named sources."""
+    name = f"stg_{uuid.uuid4().hex}"
+    register_sources(spark, {name: _staging(spark, sf)})
+    return spark.sql(f"SELECT to_date(enqueued_time) AS day, count(*) AS n_rows, "
+                     f"count(DISTINCT mempool_id) AS n_keys FROM {name} GROUP BY ALL")
+
+
 @query
 def q_envelope(spark, sf):
     frames = X.frames_from_parsed(X.landed_parsed(spark, sf))
@@ -519,6 +557,42 @@ def q_stream_minute_exact(spark, sf):
     return spark.read.parquet(f"{root}/mart").drop("event_date")
 
 
+@query
+def q_stream_parsed(spark, sf):
+    """All block rows of a message stream; broken messages go elsewhere."""
+    from feeflow.streaming import stream as ST
+
+    root = scratch_path(spark, "stream-parsed")
+    odd = spark.createDataFrame([(-1, "9/17/2026 1:00:00 AM", b"{no"), (-2, "not a time", b"{}")], S.CAPTURE)
+    _capture(spark, sf).unionByName(odd).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    rows, bad = ST.parsed_stream(ST.stream_capture(spark, f"{root}/capture"))
+    kept = ["sequence_number", "enqueued_time", "block_index", "median_fee", "total_fees"]
+    both = rows.select(*kept).unionByName(bad.select(
+        F.col("SequenceNumber").alias("sequence_number")), allowMissingColumns=True)
+    q = (both.writeStream.format("parquet").option("path", f"{root}/rows")
+         .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
+@query
+def q_stream_late(spark, sf):
+    """Messages that come again after the stream: kept, late and replayed."""
+    from feeflow.streaming import stream as ST
+
+    root, cap = scratch_path(spark, "stream-late"), _capture(spark, sf)
+    found = []
+    for load in (1, 2):
+        cap.write.parquet(f"{root}/capture/load={load}")
+        rows = ST.stream_intermediate(ST.stream_capture(spark, f"{root}/capture/*"), "1 hour")
+        q = (rows.select("mempool_id").writeStream.format("parquet").option("path", f"{root}/rows")
+             .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start())
+        q.awaitTermination()
+        found.append(ST.dropped_late_rows(q.recentProgress))
+    return spark.read.parquet(f"{root}/rows").agg(F.count(F.lit(1)).alias("n_kept")).select(
+        "n_kept", F.lit(found[0]).cast("bigint").alias("n_late_first"), F.lit(found[1]).cast("bigint").alias("n_late_second"))
+
+
 @query
 def q_stream_load(spark, sf):
     """Incremental load of two landings that overlap by a day and a half."""

@@ -398,6 +398,28 @@ ORACLE = {
     "q_stream_minute": q("SELECT * EXCLUDE (total_blocks) FROM capture_minute"),
     "q_stream_minute_exact": q("SELECT * FROM capture_minute"),
     "q_stream_load": q("SELECT * FROM dedup"),
+    "q_stream_parsed": q(
+        "SELECT sequence_number, enqueued_time, block_index, median_fee, total_fees FROM exploded UNION ALL "
+        "SELECT unnest([-1, -2]), NULL, NULL, NULL, NULL"
+    ),
+    "q_stream_late": q(
+        "SELECT count(*) AS n_kept, CAST(0 AS BIGINT) AS n_late_first, "
+        "count(*) FILTER (WHERE enqueued_time <= (SELECT max(enqueued_time) FROM messages) - INTERVAL 1 HOUR) "
+        "AS n_late_second FROM messages"
+    ),
+    "q_bronze": q(
+        "SELECT sequence_number, strftime(enqueued_time, '%-m/%-d/%Y %-I:%M:%S %p') AS capture_text, "
+        "CASE WHEN n_ok > 0 THEN 'mempool_blocks_event' ELSE 'stats_event' END AS payload_type FROM messages"
+    ),
+    "q_landing_inventory": q(
+        "SELECT CAST(list_position(['High Congestion', 'Moderate Congestion', 'Low Congestion'], "
+        "network_congestion_status) - 1 AS VARCHAR) AS folder, CAST(1 AS BIGINT) AS n_files, "
+        "CAST(1 AS BIGINT) AS n_filled, count(*) AS n_rows FROM inter GROUP BY 1"
+    ),
+    "q_source_names": q(
+        "SELECT CAST(enqueued_time AS DATE) AS day, count(*) AS n_rows, count(DISTINCT mempool_id) AS n_keys "
+        "FROM staging GROUP BY 1"
+    ),
     "q_mart_incremental": q("SELECT * FROM daily"),
     "q_mart_incremental_hours": q("SELECT * FROM hourly"),
     "q_mart_incremental_minutes": q("SELECT * FROM minute"),
