@@ -24,15 +24,21 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feeflow.operators import parse as P
 from feeflow.operators.quality import check_extra, run_declared_tests
 from feeflow.operators.staging import incremental_slice, stage, table_high_water_mark, upsert
 from feeflow.plans.model_run import run_models
 from feeflow.plans.refresh import refresh
+from feeflow.session import scratch_path
 from feeflow.sources import sinks as K
 
 
+UNREADABLE = "__unreadable"
+
+
 @dataclass
 class ModelOutputs:
     daily: DataFrame
@@ -45,11 +51,21 @@ class ModelOutputs:
 def ingest(spark: SparkSession, capture_path: str, parsed_path: str, quarantine_path: str,
            fmt: str = "parquet", mode: str = "compat") -> DataFrame:
     """Capture -> parsed table; unreadable bodies go to the quarantine table.
-    Both are replaced, so a replay changes neither."""
+    Both are replaced, so a replay changes neither.  The capture is read and
+    its bodies are tested once, in a pass that deals the messages to two staged
+    folders; each output reads its own."""
     cap = P.decode_body(K.read_capture(spark, capture_path, fmt))
-    good, bad = P.split_corrupt(cap)
-    bad.write.mode("overwrite").parquet(quarantine_path)
-    K.write_parsed(P.parse_messages(good, mode), parsed_path)
+    staged = scratch_path(spark, "ingest")
+    (cap.withColumn(UNREADABLE, F.try_parse_json("body_str").isNull())
+     .write.partitionBy(UNREADABLE).parquet(staged))
+
+    def dealt(unreadable: bool) -> DataFrame:
+        schema = T.StructType([*cap.schema.fields, T.StructField(UNREADABLE, T.BooleanType())])
+        rows = spark.read.schema(schema).parquet(staged)
+        return rows.where(F.col(UNREADABLE) == unreadable).select(*cap.columns)
+
+    dealt(True).write.mode("overwrite").parquet(quarantine_path)
+    K.write_parsed(P.parse_messages(dealt(False), mode), parsed_path)
     return K.load_parsed(spark, parsed_path)
 
 
