@@ -30,7 +30,9 @@ from feeflow.llm.bytehash import Rolling, mix, row_slices, text_buffer
 from feeflow.llm.common import packed, text_of
 
 SIMILARITY_PARTS = 5      # one edit allowed per five words: similarity 0.8
-# Scripts without blanks between words.
+# Scripts without blanks between words; all of them begin at U+0E00, so most
+# texts are passed by a single range.
+FAR = r"[\x{0E00}-\x{10FFFF}]"
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 BLOCK_ITEMS = 20_000
 BLOCK_WORDS = 2_000_000
@@ -41,7 +43,8 @@ _TABLE_BITS = 22
 def words_of(column: Column) -> Column:
     """Words separated by one blank: lower case, letters and digits only; a
     character of an unspaced script is a word."""
-    apart = F.regexp_replace(F.lower(column), UNSPACED, " $0 ")
+    lower = F.lower(column)
+    apart = F.when(lower.rlike(FAR), F.regexp_replace(lower, UNSPACED, " $0 ")).otherwise(lower)
     return F.trim(F.regexp_replace(apart, r"[^\p{L}\p{N}]+", " "))
 
 
