@@ -84,11 +84,12 @@ def mart_state(inter: DataFrame, time_col: str = "enqueued_time") -> DataFrame:
     seq = F.col("sequence_number")
     keys = [time_bucket(time_col, "minute").alias(STATE_TIME), F.col(STATUS),
             F.bitmap_bucket_number(seq).alias(SEQUENCES)]
-    # the sequence numbers of a minute first: their rows merge by hash, and the
-    # bitmaps are built from one row per number
-    per_number = inter.groupBy(*keys, F.bitmap_bit_position(seq).alias("_bit")).agg(*row_measures())
     names = [STATE_TIME, STATUS, SEQUENCES]
-    return per_number.groupBy(*names).agg(*merged_measures(), F.bitmap_construct_agg("_bit").alias(BITMAP))
+    used = dict.fromkeys(_columns("avg", "sum", "max", "min"))
+    rows = inter.select(*[k.alias(name) for k, name in zip(keys, names)], F.bitmap_bit_position(seq).alias("_bit"),
+                        *[F.col(c) for c in used if c not in names])
+    # the rows move, not the many sums made of each of them
+    return rows.repartition(*names).groupBy(*names).agg(*row_measures(), F.bitmap_construct_agg("_bit").alias(BITMAP))
 
 
 def merged_state(state: DataFrame, unit: str, bucket: str, by_status: bool = True) -> DataFrame:
@@ -98,12 +99,13 @@ def merged_state(state: DataFrame, unit: str, bucket: str, by_status: bool = Tru
     keys = [time_bucket(STATE_TIME, unit).alias(bucket), *([F.col(STATUS)] if by_status else [])]
     names = [bucket, *([STATUS] if by_status else [])]
     classes = {f"rows_{i}": label for i, label in enumerate(S.CONGESTION_LABELS)}
-    blocks = state.groupBy(*keys, SEQUENCES).agg(
-        *merged_measures(), F.bitmap_or_agg(BITMAP).alias(BITMAP),
-        *[F.sum(F.when(F.col(STATUS) == label, F.col("rows")).otherwise(0)).alias(c) for c, label in classes.items()])
-    seen = F.when(F.col(SEQUENCES).isNotNull(), F.bitmap_count(BITMAP)).otherwise(0)
-    return blocks.groupBy(*names).agg(
-        *merged_measures(), F.sum(seen).cast("bigint").alias("blocks"), *[F.sum(c).cast("bigint").alias(c) for c in classes])
+    merged = state.groupBy(*keys).agg(*merged_measures(), *[
+        F.sum(F.when(F.col(STATUS) == label, F.col("rows")).otherwise(0)).cast("bigint").alias(c)
+        for c, label in classes.items()])
+    # the bitmaps are merged apart from the measures, which are few rows a task
+    seen = state.where(F.col(SEQUENCES).isNotNull()).groupBy(*keys, SEQUENCES).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP)) \
+        .groupBy(*names).agg(F.sum(F.bitmap_count(BITMAP)).cast("bigint").alias("blocks"))
+    return _ns_join(merged, seen, names, "left").withColumn("blocks", F.coalesce("blocks", F.lit(0).cast("bigint")))
 
 
 def _output(kind: str, c: str) -> Column:
