@@ -362,10 +362,14 @@ def q_bronze(spark, sf):
 @query
 def q_landing_inventory(spark, sf):
     """Landed files by folder, one file per status, and the rows in them."""
-    root = scratch_path(spark, "inventory")
-    rows = _inter(spark, sf)
+    root, status = scratch_path(spark, "inventory"), F.col("network_congestion_status")
+    # the rows are made once, by many tasks; a status's file is a copy of its part of them
+    parts = scratch_path(spark, "inventory-parts")
+    made = _inter(spark, sf).withColumn("part", status)
+    made.write.partitionBy("part").parquet(parts)
+    rows = spark.read.schema(made.schema).parquet(parts)
     for i, label in enumerate(S.CONGESTION_LABELS):
-        rows.where(F.col("network_congestion_status") == label).coalesce(1).write.parquet(f"{root}/status={i}")
+        rows.where(F.col("part") == label).drop("part").coalesce(1).write.parquet(f"{root}/status={i}")
     files = landing_inventory(spark, root, "*.parquet")
     folder = F.regexp_extract("path", r"status=(\d)", 1)
     held = spark.read.parquet(root).groupBy(F.col("status").cast("string").alias("folder")).agg(

@@ -46,3 +46,19 @@ def test_distinct_numbers_are_counted_beside_the_measures(spark):
     executed = merged_state(state.localCheckpoint(), "day", "d")._jdf.queryExecution().executedPlan().toString()
     wide = [x for x in executed.splitlines() if "Aggregate" in x and "bitmap_or_agg" in x]
     assert wide and not any("__sum" in x for x in wide)
+
+
+def test_the_inventory_makes_its_rows_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = intermediate(stage(parsed(spark)))
+    columns = rows.columns
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(C, "_inter", lambda *_: rows.mapInPandas(counted, rows.schema).select(*columns))
+    found = {r.folder: (r.n_files, r.n_filled, r.n_rows) for r in C.q_landing_inventory(spark, "").collect()}
+    assert made.value == rows.count() and sum(n for _, _, n in found.values()) == rows.count()
+    assert {x[:2] for x in found.values()} == {(1, 1)}
