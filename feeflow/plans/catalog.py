@@ -538,7 +538,7 @@ def q_stream_minute(spark, sf):
 
     root = scratch_path(spark, "stream")
     cap = _capture(spark, sf)
-    cap.unionByName(cap).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    cap.unionByName(cap).repartition("SequenceNumber").write.parquet(f"{root}/capture")
     mart = ST.stream_mart(ST.stream_intermediate(ST.stream_capture(spark, f"{root}/capture")), "minute",
                           precision=DIGITS)
     ST.run_to_table(mart, f"{root}/mart", f"{root}/progress")
@@ -553,7 +553,7 @@ def q_stream_minute_exact(spark, sf):
 
     root = scratch_path(spark, "stream-exact")
     cap = _capture(spark, sf)
-    cap.unionByName(cap).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    cap.unionByName(cap).repartition("SequenceNumber").write.parquet(f"{root}/capture")
     spark.createDataFrame([(-1, "9/30/2026 1:00:00 AM", b"{}")], S.CAPTURE).write.mode("append").parquet(
         f"{root}/capture")
     mart = ST.exact_stream_mart(ST.stream_intermediate(ST.stream_capture(spark, f"{root}/capture")), "minute", DIGITS)
@@ -568,7 +568,7 @@ def q_stream_parsed(spark, sf):
 
     root = scratch_path(spark, "stream-parsed")
     odd = spark.createDataFrame([(-1, "9/17/2026 1:00:00 AM", b"{no"), (-2, "not a time", b"{}")], S.CAPTURE)
-    _capture(spark, sf).unionByName(odd).repartition(4, "SequenceNumber").write.parquet(f"{root}/capture")
+    _capture(spark, sf).unionByName(odd).repartition("SequenceNumber").write.parquet(f"{root}/capture")
     rows, bad = ST.parsed_stream(ST.stream_capture(spark, f"{root}/capture"))
     kept = ["sequence_number", "enqueued_time", "block_index", "median_fee", "total_fees"]
     both = rows.select(*kept).unionByName(bad.select(

@@ -62,3 +62,25 @@ def test_the_inventory_makes_its_rows_once(spark, monkeypatch):
     found = {r.folder: (r.n_files, r.n_filled, r.n_rows) for r in C.q_landing_inventory(spark, "").collect()}
     assert made.value == rows.count() and sum(n for _, _, n in found.values()) == rows.count()
     assert {x[:2] for x in found.values()} == {(1, 1)}
+
+
+@pytest.mark.parametrize("name", ["q_stream_minute", "q_stream_minute_exact", "q_stream_parsed"])
+def test_a_streamed_capture_is_written_by_all_tasks(spark, scratch, monkeypatch, name):
+    class Written(Exception):
+        pass
+
+    def stop(*_):
+        raise Written
+
+    monkeypatch.setattr(C, "_capture", lambda *_: X.messages_from_parsed(parsed(spark)))
+    monkeypatch.setattr(C, "scratch_path", lambda *_: scratch)
+    monkeypatch.setattr(ST, "stream_capture", stop)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        with pytest.raises(Written):
+            C.QUERIES[name](spark, "")
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{scratch}/capture/*.parquet")) > 6
