@@ -109,9 +109,12 @@ def conform(messages: DataFrame, registry: DataFrame, text: str = "body_str") ->
         raise ValueError(f"more than {MAX_FIELDS} registered fields: are there keys among the field names?")
     known = F.map_from_arrays(*[F.array(*[F.lit(x) for x in column]).cast("array<string>") for column in (
         [f"{r.payload_type}\x00{r.field}" for r in rows], [r.kind for r in rows])])
-    fields = _fields(text)
-    odd = F.exists(F.map_entries(fields), lambda e: ~F.coalesce(_fits(
-        _kind(e["value"]), F.try_element_at(known, F.concat(_payload_type(fields), F.lit("\x00"), e["key"]))), F.lit(True)))
+    def odd_in(fields: Column) -> Column:
+        return F.exists(F.map_entries(fields), lambda e: ~F.coalesce(_fits(_kind(e["value"]), F.try_element_at(
+            known, F.concat(_payload_type(fields), F.lit("\x00"), e["key"]))), F.lit(True)))
+
+    # as an element of an array the fields are parsed once a message, not once a field
+    odd = F.exists(F.array(_fields(text)), odd_in)
     bad = F.coalesce(odd, F.lit(False))
     return messages.where(~bad), messages.where(bad)
 

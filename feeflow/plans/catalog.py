@@ -425,7 +425,7 @@ def q_schema_registry(spark, sf):
     """Three landings: the messages as they are; with a further field and
     timestamps with a fraction; with timestamps as text."""
     store = Warehouse(spark, scratch_path(spark, "registry"))
-    cap = P.decode_body(_capture(spark, sf))
+    cap = P.decode_body(materialize_shared(_capture(spark, sf), "capture"))  # read twice a landing
     wider = F.regexp_replace(F.regexp_replace("body_str", r'"timestamp":(\d+)', r'"timestamp":$1.5'), r"^\{", '{"node":"n1",')
     textual = F.regexp_replace("body_str", r'"timestamp":(\d+)', r'"timestamp":"$1"')
     reports = None
