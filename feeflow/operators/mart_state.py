@@ -88,8 +88,11 @@ def mart_state(inter: DataFrame, time_col: str = "enqueued_time") -> DataFrame:
     used = dict.fromkeys(_columns("avg", "sum", "max", "min"))
     rows = inter.select(*[k.alias(name) for k, name in zip(keys, names)], F.bitmap_bit_position(seq).alias("_bit"),
                         *[F.col(c) for c in used if c not in names])
-    # the rows move, not the many sums made of each of them
-    return rows.repartition(*names).groupBy(*names).agg(*row_measures(), F.bitmap_construct_agg("_bit").alias(BITMAP))
+    # the rows move, not the many sums made of each of them; the sequence numbers
+    # of a minute first: their rows merge by hash, and the bitmaps are built from
+    # one row per number
+    per_number = rows.repartition(*names).groupBy(*names, "_bit").agg(*row_measures())
+    return per_number.groupBy(*names).agg(*merged_measures(), F.bitmap_construct_agg("_bit").alias(BITMAP))
 
 
 def merged_state(state: DataFrame, unit: str, bucket: str, by_status: bool = True) -> DataFrame:
