@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feeflow import schemas as S
 from feeflow.functions.expressions import epoch_seconds, fee_percentile_columns, parse_event_time
@@ -105,15 +106,18 @@ def route_frames(df: DataFrame, frame: str = "frame", time_col: str = "enqueued_
     (epoch seconds of ``time_col``) and ``data`` (JSON text of the branch).
     ``explode`` of a compacted array keeps it a single narrow projection.
     """
-    parsed = F.from_json(F.col(frame), S.FRAME)
-    present = F.json_object_keys(F.col(frame))
+    keep = [c for c in df.columns if c != frame]
+    # in a projection of their own: each branch would parse the frame once more
+    routed = StructType([S.FRAME[key] for key, _ in S.FRAME_ROUTES])
+    read = df.select(*keep, F.from_json(F.col(frame), routed).alias("_parsed"),
+                     F.json_object_keys(F.col(frame)).alias("_present"))
     branches = [
-        F.when(F.array_contains(present, key),
-               F.struct(F.lit(ptype).alias("payload_type"), F.coalesce(parsed[key], F.lit("null")).alias("data")))
+        F.when(F.array_contains("_present", key),
+               F.struct(F.lit(ptype).alias("payload_type"),
+                        F.coalesce(F.col("_parsed")[key], F.lit("null")).alias("data")))
         for key, ptype in S.FRAME_ROUTES
     ]
-    keep = [c for c in df.columns if c != frame]
-    ev = df.select(*keep, F.explode(F.array_compact(F.array(*branches))).alias("ev"))
+    ev = read.select(*keep, F.explode(F.array_compact(F.array(*branches))).alias("ev"))
     return ev.select(
         *keep,
         F.col("ev.payload_type").alias("payload_type"),

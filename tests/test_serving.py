@@ -59,3 +59,9 @@ def test_streaming_alert_feed_update_mode(spark, scratch):
     assert rows and all(
         r.fee_spike_alert != S.NORMAL or r.fee_skewness_alert != S.NORMAL or r.congestion_alert != S.NORMAL
         for r in rows)
+
+
+def test_a_frame_is_parsed_once(spark):
+    frames = X.frames_from_parsed(X.parsed_from_orders(spark, SF001))
+    plan = P.envelope_json(P.route_frames(frames))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
